@@ -12,9 +12,9 @@ are never paired. The join is exact for classes:
 3. In a tile the bit count of two bitmaps' difference bounds the overlap from above.
    From the pairs that pass, small tiles give all, larger ones a maximum spanning
    forest: links inside a forest's component can't change a component.
-4. Each given pair is verified by intersecting the sorted arrays. Where pairs of a
-   forest fail, tiles that still hold several components run again without the
-   failed pairs, until none fails. No partner and no candidate is capped.
+4. Each given pair is verified by intersecting the sorted arrays. Larger tiles that
+   hold several components after that run once more and give all pairs between
+   different components that pass the bound. No partner and no candidate is capped.
 
 Set members are 64-bit hashes, and so are class names.
 
@@ -195,27 +195,38 @@ def _shared(batches):
         yield give(done, len(done["key"]))
 
 
-def _forest(n: np.ndarray, bits: np.ndarray, comp: np.ndarray, failed: list) -> list[tuple[int, int]]:
-    """A maximum spanning forest (Prim) of the pairs whose overlap bound passes; known components cost nothing."""
+def _bounds(n: np.ndarray, bits: np.ndarray, u: int) -> tuple[np.ndarray, np.ndarray]:
+    """Upper bounds of the overlaps with row u, as a share of both sizes; and whether they allow a link."""
+    total = n + n[u]
+    bound = (total - np.bitwise_count(bits ^ bits[u]).sum(1, dtype=np.int64)) // 2
+    return bound / total, (9 * bound >= 4 * total) & _compatible(n, n[u])
+
+
+def _forest(n: np.ndarray, bits: np.ndarray) -> list[tuple[int, int]]:
+    """A maximum spanning forest (Prim) of the pairs whose overlap bound passes."""
     m, out = len(n), []
     best, parent, inside = np.full(m, -1.0), np.full(m, -1), np.zeros(m, bool)
     u = 0
     for _ in range(m):
         inside[u] = True
-        if parent[u] >= 0 and comp[u] != comp[parent[u]]:
+        if parent[u] >= 0:
             out.append((int(parent[u]), u))
-        total = n + n[u]
-        bound = (total - np.bitwise_count(bits ^ bits[u]).sum(1, dtype=np.int64)) // 2
-        w = np.where((9 * bound >= 4 * total) & _compatible(n, n[u]), bound / total, -1.0)
-        if failed[u] is not None and len(failed[u]):
-            w[np.isin(failed[u][0], failed[u][1])] = -1.0
-        w[comp == comp[u]] = 2.0
-        better = (w > best) & ~inside
-        best[better], parent[better] = w[better], u
+        share, passes = _bounds(n, bits, u)
+        better = passes & (share > best) & ~inside
+        best[better], parent[better] = share[better], u
         u = int(np.where(inside, -2.0, best).argmax())
     return out
 
 
+def _between(n: np.ndarray, bits: np.ndarray, comp: np.ndarray) -> list[tuple[int, int]]:
+    """All pairs of different components whose overlap bound passes."""
+    out = []
+    for u in range(len(n) - 1):
+        _, passes = _bounds(n[u:], bits[u:], 0)
+        out += [(u, u + int(v)) for v in np.flatnonzero(passes & (comp[u:] != comp[u]))]
+    return out
+
+
 def _tiles(batches, again: bool):
     """Candidate pairs of each tile; rows sorted by tile, then size and class. ``again``: small tiles have given all already."""
     held: list[pa.RecordBatch] = []
@@ -226,7 +237,6 @@ def _tiles(batches, again: bool):
         n, cls, low, comp = (t.column(c).to_numpy() for c in ("n", "cls", "low", "comp"))
         n = n.astype(np.int64)
         bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, _LONGS)
-        lists = t.column("failed").to_pylist() if t.column("failed").null_count < len(n) else None
         same = (tile[1:] == tile[:-1]).all(1)
         begin = np.concatenate([[0], np.flatnonzero(~same) + 1, [len(n)]])
         a, b = [], []
@@ -243,8 +253,7 @@ def _tiles(batches, again: bool):
         for s, e in zip(begin[:-1], begin[1:], strict=True):
             if e - s > SMALL:
                 own = slice(s, e)
-                bad = [None if lists is None or lists[r] is None else (cls[own], np.array(lists[r], np.int64)) for r in range(s, e)]
-                found = _forest(n[own], bits[own], comp[own], bad)
+                found = _between(n[own], bits[own], comp[own]) if again else _forest(n[own], bits[own])
                 a.append(cls[own][[p[0] for p in found]].astype(np.int64))
                 b.append(cls[own][[p[1] for p in found]].astype(np.int64))
         a, b = (np.concatenate([np.zeros(0, np.int64), *v]) for v in (a, b))
@@ -284,7 +293,7 @@ def _verify(batches):
             p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
             common = len(np.intersect1d(p, q, assume_unique=True))
             ok.append(100 * common >= 80 * (len(p) + len(q) - common))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], ["a", "b", "ok"])
+        yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
 _FILTER_BITS = 24
@@ -356,29 +365,23 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     ends = tiles.select("key", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("band"))
     narrow = shared.join(wide, "key", "left_anti").select("key", F.lit(0).alias("i"), F.lit(0).alias("j"), "n", "cls", "low")
     tiled = narrow.unionByName(shared.join(ends, ["key", "band"]).select("key", "i", "j", "n", "cls", "low"))
-    links = spark.createDataFrame([], "a long, b long")
-    failed, comp = links, None
-    while True:
-        t = tiled.join(bits, "cls")
-        if comp is None:
-            t = t.withColumns({"comp": F.col("cls"), "failed": F.lit(None).cast("array<long>")})
-        else:
-            t = t.join(comp.select(F.col("node").alias("cls"), F.col("component").alias("c")), "cls", "left").withColumn("comp", F.coalesce("c", "cls")).drop("c")
-            both = failed.unionByName(failed.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            t = t.join(both.groupBy(F.col("a").alias("cls")).agg(F.collect_list("b").alias("failed")), "cls", "left")
-        t = t.select("key", "i", "j", "n", "cls", "low", "bits", "comp", "failed").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "cls")
-        pairs = t.mapInArrow(partial(_tiles, again=comp is not None), "a long, b long").distinct()
-        left, right = arrays.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), arrays.select(F.col("cls").alias("b"), F.col("shingles").alias("sb"))
-        checked = cut(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_verify, "a long, b long, ok boolean"))
-        links, bad = links.unionByName(checked.where("ok").select("a", "b")), checked.where("not ok").select("a", "b")
-        comp = components(links)
-        if bad.isEmpty():
-            break
-        failed = failed.unionByName(bad)
-        # Only tiles that hold both ends of a failed pair in different components can have another way between them.
-        c = comp.select(F.col("node").alias("cls"), F.col("component").alias("c"))
-        seen = tiled.join(c, "cls", "left").groupBy("key", "i", "j").agg(F.min(F.coalesce("c", "cls")).alias("x"), F.max(F.coalesce("c", "cls")).alias("y")).where("x <> y")
-        tiled = cut(tiled.join(seen.select("key", "i", "j"), ["key", "i", "j"], "left_semi"))
+    left, right = arrays.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), arrays.select(F.col("cls").alias("b"), F.col("shingles").alias("sb"))
+
+    def linked(tiled: DataFrame, again: bool) -> DataFrame:
+        t = tiled.select("key", "i", "j", "n", "cls", "low", "comp").join(bits, "cls").select("key", "i", "j", "n", "cls", "low", "bits", "comp")
+        t = t.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "cls")
+        pairs = t.mapInArrow(partial(_tiles, again=again), "a long, b long").distinct()
+        return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_verify, "a long, b long"))
+
+    links = linked(tiled.withColumn("comp", F.col("cls")), False)
+    comp = components(links)
+    # Small tiles have given all their pairs; a larger tile of one component has none left.
+    c = comp.select(F.col("node").alias("cls"), F.col("component").alias("c"))
+    known = cut(tiled.join(tiled.groupBy("key", "i", "j").count().where(F.col("count") > SMALL).select("key", "i", "j"), ["key", "i", "j"], "left_semi").join(c, "cls", "left").withColumn("comp", F.coalesce("c", "cls")).drop("c"))
+    several = known.groupBy("key", "i", "j").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key", "i", "j")
+    more = linked(known.join(several, ["key", "i", "j"], "left_semi"), True)
+    if not more.isEmpty():
+        comp = components(links.unionByName(more))
     classes = d.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("lo")).join(comp.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     lowest = classes.groupBy("component").agg(F.min("lo").alias("component_id"))
     named = classes.join(lowest, "component").select(F.col("cls").alias("k"), "component_id")
