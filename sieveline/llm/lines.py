@@ -6,8 +6,9 @@ units, and a chunk ends where the rolling hash is a strict local minimum: a rule
 that only looks at the neighbouring units, so inserted text shifts no boundary
 further away. Chunks have two units at least, but for a text's first and last.
 Chunks of two or more units and ``min_words`` words whose hash repeats anywhere are
-compared byte by byte with the hash's first occurrence (smallest doc_id, then
-text hash, then place); equal later ones are removed, with their line feeds.
+compared byte by byte, by grouping on their texts; all but the first occurrence
+(smallest doc_id, then text hash, then place) are removed, with their line feeds.
+A hash that two different texts share removes nothing.
 
 Edge cases: null texts stay null, empty ones empty; rows that repeat an id with the
 same text count as one and keep equal texts; null ids are compared like any other;
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import WORD
+from sieveline.llm.common import WORD, cut
 
 _BREAK = r"(?<=\n)|(?<=[.!?] )"
 
@@ -28,8 +29,8 @@ def _units(col) -> F.Column:
     return F.split(col, _BREAK)
 
 
-def _with_chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, th, chunk_at, start, n, chunk: one row per chunk."""
+def _chunks(docs: DataFrame) -> DataFrame:
+    """doc_id, th, start, n, ch: one row per chunk of two units or more, with its hash but not its text."""
     d = docs.where("text <> ''").select("doc_id", F.xxhash64("text").alias("th"), _units(F.col("text")).alias("units"))
     d = d.withColumn("h", F.transform("units", lambda u: F.xxhash64(u)))
     turn = lambda x: F.shiftleft(x, 1).bitwiseOR(F.shiftrightunsigned(x, 63))
@@ -39,21 +40,24 @@ def _with_chunks(docs: DataFrame) -> DataFrame:
     flags = F.transform("roll", lambda x, i: F.when(low(x, i), i + 1))
     d = d.withColumn("starts", F.concat(F.array(F.lit(0)), F.filter(flags, lambda i: i.isNotNull() & (i < F.size("units")))))
     length = lambda s, j: F.coalesce(F.get("starts", j + 1), F.size("units")) - s
-    chunks = F.transform("starts", lambda s, j: F.struct(s.alias("start"), length(s, j).alias("n"), F.array_join(F.slice("units", s + 1, length(s, j)), "").alias("chunk")))
-    return d.select("doc_id", "th", F.explode(F.filter(chunks, lambda c: c["n"] >= 2)).alias("c")).select("doc_id", "th", "c.start", "c.n", "c.chunk")
+    chunks = F.transform("starts", lambda s, j: F.struct(s.alias("start"), length(s, j).alias("n"), F.xxhash64(F.slice("h", s + 1, length(s, j))).alias("ch")))
+    return d.select("doc_id", "th", F.explode(F.filter(chunks, lambda c: c["n"] >= 2)).alias("c")).select("doc_id", "th", "c.start", "c.n", "c.ch")
 
 
 def dedup_lines(docs: DataFrame, min_words: int = 10) -> DataFrame:
     """The rows of ``docs`` with ``text`` cut, ``n_units``, ``n_removed`` (units) and ``removed_chars``; other columns stay."""
-    c = _with_chunks(docs).withColumn("ch", F.xxhash64("chunk"))
+    c = cut(_chunks(docs))
     first = c.groupBy("ch").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "th", "start")).alias("first")).where("copies > 1").select(F.col("ch").alias("k"), "first")
-    again = c.join(first, c.ch == first.k)
-    here = F.struct("doc_id", "th", "start")
-    original = again.where(here.eqNullSafe(F.col("first"))).select(F.col("ch").alias("ok"), F.col("chunk").alias("original")).distinct()
-    same = again.where(~here.eqNullSafe(F.col("first"))).join(original, (F.col("ch") == F.col("ok")) & (F.col("chunk") == F.col("original")))
-    same = same.where(F.regexp_count("chunk", F.lit(WORD)) >= min_words)
+    again = cut(c.join(first, c.ch == first.k).withColumn("later", ~F.struct("doc_id", "th", "start").eqNullSafe(F.col("first"))).select("doc_id", "th", "start", "n", "ch", "later"))
+    lists = again.distinct().groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "n", "ch")).alias("seen")).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "seen")
+    keyed = docs.withColumn("_key", F.xxhash64("text"))
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th"))
+    texts = keyed.select("doc_id", "text", "_key").join(lists, on).withColumn("u", _units(F.col("text"))).select(F.explode(F.transform("seen", lambda g: F.struct(g["ch"].alias("ch"), F.array_join(F.slice("u", g["start"] + 1, g["n"]), "").alias("chunk")))).alias("x"))
+    compared = texts.select("x.ch", "x.chunk").groupBy("ch", "chunk").agg(F.count("*").alias("rows")).groupBy("ch").agg(F.count("*").alias("texts"), F.min(F.regexp_count("chunk", F.lit(WORD))).alias("words"))
+    equal = compared.where((F.col("texts") == 1) & (F.col("words") >= min_words)).select(F.col("ch").alias("k"))
+    same = again.where("later").join(equal, again.ch == F.col("k"))
     gone = same.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "n")).alias("_gone")).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "_gone")
-    out = docs.withColumn("_key", F.xxhash64("text")).join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th")), "left")
+    out = keyed.join(gone, on, "left")
     units = _units(F.col("text"))
     stays = F.filter(units, lambda u, i: ~F.exists("_gone", lambda g: (i >= g["start"]) & (i < g["start"] + g["n"])))
     cut_text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(stays, ""))
