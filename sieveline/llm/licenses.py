@@ -36,13 +36,18 @@ TEMPLATES = (
     ("creative commons zero public domain dedication", "cc0"),
     ("this is free and unencumbered software released into the public domain", "unlicense"),
 )
-TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Words before A-Z are lower-cased.
+TOKEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Letters whose lower case holds an ASCII letter.
+FOREIGN = "[\u0130\u212A]"
 DRIFT, SHARE = 2, 0.8
 
 
 def _words(col) -> F.Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(col, F.lit("")), UPPER, LOWER), F.lit(TOKEN), F.lit(0))
+    """The words; they equal a template's if and only if they would with A-Z alone lower-cased."""
+    text = F.coalesce(col, F.lit(""))
+    low = F.when(text.rlike(FOREIGN), F.regexp_replace(text, FOREIGN, "\u00f8")).otherwise(text)
+    return F.regexp_extract_all(F.lower(low), F.lit(TOKEN), F.lit(0))
 
 
 def _grams(words) -> F.Column:
@@ -77,7 +82,7 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("base"), F.col("label")))), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.collect_set("label")), ",").alias("labels"), F.max("share").alias("score"),
     )
-    counted = docs.select("doc_id", F.regexp_count(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), F.lit(TOKEN)).cast("long").alias("n_words"))
+    counted = docs.select("doc_id", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(TOKEN)).cast("long").alias("n_words"))
     f = found.withColumnRenamed("doc_id", "found_id")
     none = lambda c, v: F.coalesce(c, F.lit(v)).alias(c)
     return counted.join(f, F.col("doc_id").eqNullSafe(F.col("found_id")), "left").select("doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word", none("base_labels", ""), none("labels", ""), none("score", 0.0))
