@@ -146,53 +146,85 @@ def _compatible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _shared(batches):
-    """From rows sorted by key, size and class: those with a neighbour of compatible size under their key, with their band."""
-    held, place, last = None, 0, None
+    """From rows sorted by key, size and class, for each key of several classes: all possible pairs of up to
+    ``SMALL`` classes (``other`` is set), or else the classes with their band."""
     names = ["key", "n", "cls", "low"]
-
-    def give(c: dict, upto: int):
-        """Rows 0..upto-1 of c, whose neighbours are known."""
-        nonlocal place, last
-        k, n = c["key"], c["n"].astype(np.int64)
-        same = np.zeros(len(k), bool)
-        same[1:] = k[1:] == k[:-1]
-        ok = np.zeros(len(k), bool)
-        pair = same[1:] & _compatible(n[1:], n[:-1])
-        ok[1:] |= pair
-        ok[:-1] |= pair
-        start = np.flatnonzero(~same)
-        begin = np.zeros(len(k), np.int64)
-        begin[start] = start
-        begin = np.maximum.accumulate(begin)
-        pos = np.arange(len(k)) - begin
-        if last is not None and len(k):
-            # c begins with the last row given before, to be its neighbour.
-            pos[begin == 0] += place
-        rows = np.arange(0 if last is None else 1, upto)
-        if upto:
-            place, last = int(pos[upto - 1]), {x: c[x][upto - 1 : upto] for x in names}
-        rows = rows[ok[rows]]
-        return pa.RecordBatch.from_arrays([*(pa.array(c[x][rows]) for x in names), pa.array((pos[rows] // BAND).astype(np.int32))], [*names, "band"])
+    # Rows whose key may go on; the key, rows given and last class of a long run that goes on.
+    held: dict | None = None
+    going, given, last = None, 0, None
+
+    def give(c: dict) -> pa.RecordBatch:
+        key, n = c["key"], c["n"].astype(np.int64)
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        start = np.flatnonzero(new)
+        size = np.diff(np.append(start, len(key)))
+        run = np.cumsum(new) - 1
+        pos = np.arange(len(key)) - start[run]
+        long = size[run] > SMALL
+        if going is not None and len(key):
+            own = key == going
+            long |= own
+            pos[own] += given
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for d in range(1, SMALL):
+            x = np.arange(max(0, len(key) - d))
+            y = x + d
+            ok = (run[x] == run[y]) & ~long[x] & _compatible(n[x], n[y]) & (c["low"][x] | (c["low"][y] & (n[x] == n[y])))
+            a.append(x[ok])
+            b.append(y[ok])
+        a, b = np.concatenate(a), np.concatenate(b)
+        swap = c["cls"][a] > c["cls"][b]
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        pair = np.unique(np.stack([c["cls"][a], c["cls"][b], n[a], n[b]], 1), axis=0).T if len(a) else np.zeros((4, 0), np.int64)
+        rows = np.flatnonzero(long)
+        none = pa.nulls(len(rows), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([c["key"][rows], np.zeros(pair.shape[1], np.int64)])), pa.array(np.concatenate([n[rows], pair[2]])), pa.array(np.concatenate([c["cls"][rows], pair[0]])),
+                pa.concat_arrays([none, pa.array(pair[1])]), pa.array(np.concatenate([n[rows], pair[3]])), pa.array(np.concatenate([pos[rows] // BAND, pair[2] * 0]).astype(np.int32)),
+            ],
+            ["key", "n", "cls", "other", "other_n", "band"],
+        )
 
     for batch in batches:
+        if not batch.num_rows:
+            continue
         c = {x: batch.column(i).to_numpy(zero_copy_only=False) for i, x in enumerate(names)}
         if held is not None:
             c = {x: np.concatenate([held[x], c[x]]) for x in names}
         keep = np.ones(len(c["key"]), bool)
         keep[1:] = (c["key"][1:] != c["key"][:-1]) | (c["cls"][1:] != c["cls"][:-1])
+        if going is not None:
+            keep[0] &= (c["key"][0] != going) | (c["cls"][0] != last)
         c = {x: v[keep] for x, v in c.items()}
-        m = len(c["key"])
-        if m > 1:
-            done = {x: v for x, v in c.items()}
-            if last is not None:
-                done = {x: np.concatenate([last[x], v]) for x, v in c.items()}
-            held = {x: v[-1:] for x, v in c.items()}
-            yield give(done, len(done["key"]) - 1)
-        else:
-            held = c
-    if held is not None and len(held["key"]):
-        done = held if last is None else {x: np.concatenate([last[x], held[x]]) for x in names}
-        yield give(done, len(done["key"]))
+        if not len(c["key"]):
+            held = None
+            continue
+        end = len(c["key"]) - int((c["key"] == c["key"][-1]).sum())
+        if len(c["key"]) - end > SMALL or c["key"][-1] == going:
+            end = len(c["key"])
+        if end:
+            done = {x: v[:end] for x, v in c.items()}
+            yield give(done)
+            tail = int((done["key"] == done["key"][-1]).sum())
+            if end == len(c["key"]):
+                given = given + tail if done["key"][-1] == going else tail
+                going, last = done["key"][-1], done["cls"][-1]
+            else:
+                going = None
+        held = {x: v[end:] for x, v in c.items()} if end < len(c["key"]) else None
+    if held is not None:
+        yield give(held)
+
+
+def _possible(batches):
+    """Of pairs with sizes and bitmaps those whose overlap bound passes."""
+    for batch in batches:
+        n, m = (batch.column(c).to_numpy() for c in ("n", "other_n"))
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, _LONGS) for c in ("x", "y"))
+        bound = (n + m - np.bitwise_count(x ^ y).sum(1, dtype=np.int64)) // 2
+        yield batch.select(["a", "b"]).filter(pa.array(9 * bound >= 4 * (n + m)))
 
 
 def _bounds(n: np.ndarray, bits: np.ndarray, u: int) -> tuple[np.ndarray, np.ndarray]:
@@ -228,42 +260,27 @@ def _between(n: np.ndarray, bits: np.ndarray, comp: np.ndarray) -> list[tuple[in
 
 
 def _tiles(batches, again: bool):
-    """Candidate pairs of each tile; rows sorted by tile, then size and class. ``again``: small tiles have given all already."""
+    """Candidate pairs of each tile; rows sorted by tile, then size and class."""
     held: list[pa.RecordBatch] = []
     given: set = set()
 
     def pairs(t: pa.Table):
         tile = np.stack([t.column(c).to_numpy() for c in ("key", "i", "j")], 1)
-        n, cls, low, comp = (t.column(c).to_numpy() for c in ("n", "cls", "low", "comp"))
-        n = n.astype(np.int64)
+        n, cls, comp = (t.column(c).to_numpy() for c in ("n", "cls", "comp"))
         bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, _LONGS)
-        same = (tile[1:] == tile[:-1]).all(1)
-        begin = np.concatenate([[0], np.flatnonzero(~same) + 1, [len(n)]])
-        a, b = [], []
-        size = np.repeat(np.diff(begin), np.diff(begin))
-        for d in range(1, 1 if again else SMALL):
-            x = np.arange(len(n) - d)
-            y = x + d
-            ok = (size[x] <= SMALL) & (tile[x] == tile[y]).all(1) & _compatible(n[x], n[y]) & (low[x] | (low[y] & (n[x] == n[y]))) & (comp[x] != comp[y])
-            x, y = x[ok], y[ok]
-            bound = (n[x] + n[y] - np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)) // 2
-            ok = 9 * bound >= 4 * (n[x] + n[y])
-            a.append(cls[x[ok]])
-            b.append(cls[y[ok]])
+        begin = np.concatenate([[0], np.flatnonzero((tile[1:] != tile[:-1]).any(1)) + 1, [len(n)]])
+        new = []
         for s, e in zip(begin[:-1], begin[1:], strict=True):
-            if e - s > SMALL:
-                own = slice(s, e)
-                found = _between(n[own], bits[own], comp[own]) if again else _forest(n[own], bits[own])
-                a.append(cls[own][[p[0] for p in found]].astype(np.int64))
-                b.append(cls[own][[p[1] for p in found]].astype(np.int64))
-        a, b = (np.concatenate([np.zeros(0, np.int64), *v]) for v in (a, b))
-        lo, hi = np.minimum(a, b), np.maximum(a, b)
-        both = np.unique(np.stack([lo, hi], 1), axis=0) if len(lo) else np.zeros((0, 2), np.int64)
+            own = slice(s, e)
+            names = cls[own].tolist()
+            for u, v in _between(n[own], bits[own], comp[own]) if again else _forest(n[own], bits[own]):
+                p = (min(names[u], names[v]), max(names[u], names[v]))
+                if p not in given:
+                    given.add(p)
+                    new.append(p)
         # The same pair comes from many tiles; a bounded memory of the last ones saves shuffling.
-        new = [p for p in map(tuple, both.tolist()) if p not in given]
         if len(given) > 200_000:
             given.clear()
-        given.update(new)
         arr = np.array(new, np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(arr[:, 0]), pa.array(arr[:, 1])], ["a", "b"])
 
@@ -321,7 +338,7 @@ def _or(key, table):
 
 
 def _arrays(docs: DataFrame, involved: DataFrame) -> DataFrame:
-    """cls, shingles of the classes of ``involved(cls)``; a Bloom filter of fixed size spares the shuffle most others."""
+    """Checkpointed cls, shingles of the classes of ``involved(cls)``; a Bloom filter of fixed size spares the shuffle most others."""
     parts = involved.select("cls").mapInArrow(_mark, "part long, bits binary").groupBy("part").applyInArrow(_or, "part long, bits binary").collect()
     bits = np.zeros((16, (1 << _FILTER_BITS) // 128), np.uint8)
     for r in parts:
@@ -341,7 +358,7 @@ def _arrays(docs: DataFrame, involved: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(cls[take].view(np.int64)), pa.array([h[first[i] : first[i] + n[i]].tobytes() for i in take], pa.binary())], ["cls", "shingles"])
 
     got = docs.select("text").mapInArrow(run, "cls long, shingles binary")
-    return got.join(involved, "cls", "left_semi").groupBy("cls").agg(F.min("shingles").alias("shingles"))
+    return cut(got.join(involved, "cls", "left_semi").groupBy("cls").agg(F.min("shingles").alias("shingles")))
 
 
 def ngram_components(docs: DataFrame) -> DataFrame:
@@ -352,34 +369,41 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     held = spark.sparkContext.broadcast(frequencies(docs))
     prefix = docs.select("text").mapInArrow(lambda b: _prefixes(b, held.value), "key long, n int, cls long, low boolean")
     rows = prefix.repartition("key").sortWithinPartitions("key", "n", "cls")
-    shared = cut(rows.mapInArrow(_shared, "key long, n int, cls long, low boolean, band int"))
-    involved = cut(shared.select("cls").distinct())
-    bits = d.where("n > 0").join(involved, "cls", "left_semi").groupBy("cls").agg(F.first("bits").alias("bits"))
-    arrays = cut(_arrays(docs, involved))
+    shared = cut(rows.mapInArrow(_shared, "key long, n long, cls long, other long, other_n long, band int"))
+    bits = d.where("n > 0").select("cls", "bits").groupBy("cls").agg(F.first("bits").alias("bits"))
+    first = shared.where("other is not null").select(F.col("cls").alias("a"), F.col("other").alias("b"), "n", "other_n").distinct()
+    first = first.join(bits.select(F.col("cls").alias("a"), F.col("bits").alias("x")), "a").join(bits.select(F.col("cls").alias("b"), F.col("bits").alias("y")), "b")
+    first = first.select("a", "b", "n", "other_n", "x", "y").mapInArrow(_possible, "a long, b long")
     # Tiles: one for each key, but for keys of several bands one for each pair of bands of compatible sizes.
-    bands = shared.groupBy("key", "band").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    rows = shared.where("other is null").select("key", "n", "cls", "band")
+    bands = rows.groupBy("key", "band").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     wide = bands.where("band > 0").select("key").distinct()
     bands = bands.join(wide, "key", "left_semi")
     i, j = bands.select("key", F.col("band").alias("i"), F.col("hi")), bands.select("key", F.col("band").alias("j"), "lo")
     tiles = i.join(j, "key").where("i <= j and 5 * hi >= 4 * lo").select("key", "i", "j")
     ends = tiles.select("key", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("band"))
-    narrow = shared.join(wide, "key", "left_anti").select("key", F.lit(0).alias("i"), F.lit(0).alias("j"), "n", "cls", "low")
-    tiled = narrow.unionByName(shared.join(ends, ["key", "band"]).select("key", "i", "j", "n", "cls", "low"))
-    left, right = arrays.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), arrays.select(F.col("cls").alias("b"), F.col("shingles").alias("sb"))
-
-    def linked(tiled: DataFrame, again: bool) -> DataFrame:
-        t = tiled.select("key", "i", "j", "n", "cls", "low", "comp").join(bits, "cls").select("key", "i", "j", "n", "cls", "low", "bits", "comp")
-        t = t.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "cls")
-        pairs = t.mapInArrow(partial(_tiles, again=again), "a long, b long").distinct()
+    narrow = rows.join(wide, "key", "left_anti").select("key", F.lit(0).alias("i"), F.lit(0).alias("j"), "n", "cls")
+    tiled = narrow.unionByName(rows.join(ends, ["key", "band"]).select("key", "i", "j", "n", "cls"))
+
+    def candidates(tiled: DataFrame, again: bool) -> DataFrame:
+        t = tiled.select("key", "i", "j", "n", "cls", "comp").join(bits, "cls").select("key", "i", "j", "n", "cls", "bits", "comp")
+        return t.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "cls").mapInArrow(partial(_tiles, again=again), "a long, b long")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = cut(pairs.distinct())
+        if pairs.isEmpty():
+            return pairs
+        arrays = _arrays(docs, cut(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()))
+        left, right = arrays.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), arrays.select(F.col("cls").alias("b"), F.col("shingles").alias("sb"))
         return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_verify, "a long, b long"))
 
-    links = linked(tiled.withColumn("comp", F.col("cls")), False)
+    links = verified(first.unionByName(candidates(tiled.withColumn("comp", F.col("cls")), False)))
     comp = components(links)
-    # Small tiles have given all their pairs; a larger tile of one component has none left.
+    # Pairs of short runs are all verified; a tile of one component has none left.
     c = comp.select(F.col("node").alias("cls"), F.col("component").alias("c"))
-    known = cut(tiled.join(tiled.groupBy("key", "i", "j").count().where(F.col("count") > SMALL).select("key", "i", "j"), ["key", "i", "j"], "left_semi").join(c, "cls", "left").withColumn("comp", F.coalesce("c", "cls")).drop("c"))
+    known = tiled.join(c, "cls", "left").withColumn("comp", F.coalesce("c", "cls")).drop("c")
     several = known.groupBy("key", "i", "j").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key", "i", "j")
-    more = linked(known.join(several, ["key", "i", "j"], "left_semi"), True)
+    more = verified(candidates(known.join(several, ["key", "i", "j"], "left_semi"), True))
     if not more.isEmpty():
         comp = components(links.unionByName(more))
     classes = d.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("lo")).join(comp.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
