@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from sieveline.llm import textscan
 from sieveline.llm.common import components, cut
 
-TABLE_BITS, WIDTH, BAND, SMALL = 18, 1024, 1024, 8
+TABLE_BITS, WIDTH, BAND, SMALL = 18, 2048, 1024, 8
 _LONGS = WIDTH // 64
 
 
@@ -91,7 +91,7 @@ def _describe(batches):
     for batch, data, at in textscan.blocks(batches, most=textscan.BLOCK // 2):
         h, doc, n, first = _sets(data, at)
         cls = _classes(h, n, first)
-        step = 512
+        step = 256
         for i in range(0, len(n), step):
             j = min(len(n), i + step)
             own = slice(int(first[i]), int(first[j - 1] + n[j - 1]))
@@ -370,7 +370,8 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     prefix = docs.select("text").mapInArrow(lambda b: _prefixes(b, held.value), "key long, n int, cls long, low boolean")
     rows = prefix.repartition("key").sortWithinPartitions("key", "n", "cls")
     shared = cut(rows.mapInArrow(_shared, "key long, n long, cls long, other long, other_n long, band int"))
-    bits = d.where("n > 0").select("cls", "bits").groupBy("cls").agg(F.first("bits").alias("bits"))
+    involved = shared.select(F.explode(F.array("cls", "other")).alias("cls")).where("cls is not null").distinct()
+    bits = cut(d.where("n > 0").select("cls", "bits").join(involved, "cls", "left_semi").groupBy("cls").agg(F.first("bits").alias("bits")))
     first = shared.where("other is not null").select(F.col("cls").alias("a"), F.col("other").alias("b"), "n", "other_n").distinct()
     first = first.join(bits.select(F.col("cls").alias("a"), F.col("bits").alias("x")), "a").join(bits.select(F.col("cls").alias("b"), F.col("bits").alias("y")), "b")
     first = first.select("a", "b", "n", "other_n", "x", "y").mapInArrow(_possible, "a long, b long")
@@ -389,21 +390,21 @@ def ngram_components(docs: DataFrame) -> DataFrame:
         t = tiled.select("key", "i", "j", "n", "cls", "comp").join(bits, "cls").select("key", "i", "j", "n", "cls", "bits", "comp")
         return t.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "cls").mapInArrow(partial(_tiles, again=again), "a long, b long")
 
+    # Arrays once, for the first pairs and for all that a second round can ask for.
+    pairs = cut(first.unionByName(candidates(tiled.withColumn("comp", F.col("cls")), False)).distinct())
+    arrays = _arrays(docs, cut(pairs.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(rows.select("cls")).distinct()))
+    left, right = arrays.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), arrays.select(F.col("cls").alias("b"), F.col("shingles").alias("sb"))
+
     def verified(pairs: DataFrame) -> DataFrame:
-        pairs = cut(pairs.distinct())
-        if pairs.isEmpty():
-            return pairs
-        arrays = _arrays(docs, cut(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()))
-        left, right = arrays.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), arrays.select(F.col("cls").alias("b"), F.col("shingles").alias("sb"))
         return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_verify, "a long, b long"))
 
-    links = verified(first.unionByName(candidates(tiled.withColumn("comp", F.col("cls")), False)))
+    links = verified(pairs)
     comp = components(links)
     # Pairs of short runs are all verified; a tile of one component has none left.
     c = comp.select(F.col("node").alias("cls"), F.col("component").alias("c"))
     known = tiled.join(c, "cls", "left").withColumn("comp", F.coalesce("c", "cls")).drop("c")
     several = known.groupBy("key", "i", "j").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key", "i", "j")
-    more = verified(candidates(known.join(several, ["key", "i", "j"], "left_semi"), True))
+    more = verified(candidates(known.join(several, ["key", "i", "j"], "left_semi"), True).distinct())
     if not more.isEmpty():
         comp = components(links.unionByName(more))
     classes = d.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("lo")).join(comp.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
