@@ -62,7 +62,7 @@ def tilts(goal: DataFrame, most: float = 3.0) -> DataFrame:
     return out.select("source", "source_size", "target", F.least(F.exp("lam"), F.lit(float(most))).alias("rate"))
 
 
-def _round(key, pdf: pd.DataFrame) -> pd.DataFrame:
+def _round(key, pdf):
     """Extra copies per size of one source: the error is carried from larger sizes to smaller ones."""
     pdf = pdf.sort_values("size", ascending=False)
     share, carry, extra = float(pdf["rate"].iloc[0] % 1), 0.0, []
