@@ -20,6 +20,10 @@ def reach_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = ":".join(filter(None, [home, env.get("PYTHONPATH", "")]))
 
 
+#: Edges that one task contracts.
+TASK_EDGES = 15_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -73,14 +77,17 @@ def _stars(batches):
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for each node of ``edges(a, b)``; component: the smallest reachable id.
 
-    Each partition first contracts its own edges into stars, then large-star and
-    small-star steps alternate until no edge changes. All state stays in
-    DataFrames; each round ends in a checkpoint. The joins back on a hub are plain
+    Tasks of about ``TASK_EDGES`` edges first contract their own into stars; one task
+    has all of a small graph and is done. Otherwise large-star and small-star steps
+    alternate until no edge changes. All state stays in DataFrames; each round ends
+    in a checkpoint. The joins back on a hub are plain
     sort-merge joins, so adaptive execution can split a hub's rows.
     """
-    e = cut(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").mapInPandas(_stars, "a long, b long").distinct())
+    edges = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")
+    tasks = edges.count() // TASK_EDGES + 1
+    e = cut(edges.repartition(tasks).mapInPandas(_stars, "a long, b long").distinct())
     seen = None
-    while True:
+    while tasks > 1:
         state = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if tuple(state) == seen:
             break

@@ -46,7 +46,9 @@ def test_odd_and_empty_tables(odd, name):
     assert n == {"tokens": 27}.get(name, 9) or name == "leaks" and n == 3
 
 
-def test_components(spark):
+@pytest.mark.parametrize("task_edges", [3, 15_000])
+def test_components(spark, monkeypatch, task_edges):
+    monkeypatch.setattr("sieveline.llm.common.TASK_EDGES", task_edges)
     e = [(i, i + 1) for i in range(30)] + [(100, 101), (103, 101), (5, 5)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(e, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(31)} | {100: 100, 101: 100, 103: 100}
