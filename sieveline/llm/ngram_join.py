@@ -5,8 +5,8 @@ are never paired. The join is exact for classes:
 
 1. All shingles are ordered by a hashed frequency table (fixed size, counted over
    all documents), rare ones first. Two linked sets share one of their first
-   ``n - ceil(0.8 n) + 1`` shingles, and one of the smaller set's first
-   ``n - ceil(8 n / 9) + 1``; only these prefixes are shuffled.
+   ``n - ceil(0.8 n) + 1`` shingles; only these prefixes are shuffled. Pairs that meet
+   at rare shingles alone are counted: sets of like sizes have to share many of them.
 2. A shared prefix shingle's classes, sorted by set size, are cut into blocks of
    ``BAND`` rows: size bands. Each pair of bands whose sizes are compatible is a tile.
 3. In a tile the bit count of two bitmaps' difference bounds the overlap from above.
@@ -135,10 +135,9 @@ def _prefixes(batches, weight: np.ndarray):
         cls = _classes(h, n, first)
         new = _fresh(cls, seen)
         place = np.arange(len(h)) - first[doc]
-        probe, index = n - _ceil(n, 4, 5) + 1, n - _ceil(n, 8, 9) + 1
-        out = np.flatnonzero(new[doc] & (place < probe[doc]))
+        out = np.flatnonzero(new[doc] & (place < (n - _ceil(n, 4, 5) + 1)[doc]))
         d = doc[out]
-        yield pa.RecordBatch.from_arrays([pa.array(h[out].view(np.int64)), pa.array(n[d].astype(np.int32)), pa.array(cls[d].view(np.int64)), pa.array(place[out] < index[d])], ["key", "n", "cls", "low"])
+        yield pa.RecordBatch.from_arrays([pa.array(h[out].view(np.int64)), pa.array(n[d].astype(np.int32)), pa.array(cls[d].view(np.int64))], ["key", "n", "cls"])
 
 
 def _compatible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -146,9 +145,9 @@ def _compatible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _shared(batches):
-    """From rows sorted by key, size and class, for each key of several classes: all possible pairs of up to
-    ``SMALL`` classes (``other`` is set), or else the classes with their band."""
-    names = ["key", "n", "cls", "low"]
+    """From rows sorted by key, size and class, for each key of several classes: all pairs of compatible sizes of up
+    to ``SMALL`` classes (``other`` is set; a pair once for each such key), or else the classes with their band."""
+    names = ["key", "n", "cls"]
     # Rows whose key may go on; the key, rows given and last class of a long run that goes on.
     held: dict | None = None
     going, given, last = None, 0, None
@@ -170,13 +169,13 @@ def _shared(batches):
         for d in range(1, SMALL):
             x = np.arange(max(0, len(key) - d))
             y = x + d
-            ok = (run[x] == run[y]) & ~long[x] & _compatible(n[x], n[y]) & (c["low"][x] | (c["low"][y] & (n[x] == n[y])))
+            ok = (run[x] == run[y]) & ~long[x] & _compatible(n[x], n[y])
             a.append(x[ok])
             b.append(y[ok])
         a, b = np.concatenate(a), np.concatenate(b)
         swap = c["cls"][a] > c["cls"][b]
         a, b = np.where(swap, b, a), np.where(swap, a, b)
-        pair = np.unique(np.stack([c["cls"][a], c["cls"][b], n[a], n[b]], 1), axis=0).T if len(a) else np.zeros((4, 0), np.int64)
+        pair = np.stack([c["cls"][a], c["cls"][b], n[a], n[b]])
         rows = np.flatnonzero(long)
         none = pa.nulls(len(rows), pa.int64())
         return pa.RecordBatch.from_arrays(
@@ -367,16 +366,19 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     d = cut(docs.select("doc_id", "text").mapInArrow(_describe, "doc_id long, n long, cls long, bits binary"))
     # 2 ** TABLE_BITS numbers, whatever the input.
     held = spark.sparkContext.broadcast(frequencies(docs))
-    prefix = docs.select("text").mapInArrow(lambda b: _prefixes(b, held.value), "key long, n int, cls long, low boolean")
+    prefix = docs.select("text").mapInArrow(lambda b: _prefixes(b, held.value), "key long, n int, cls long")
     rows = prefix.repartition("key").sortWithinPartitions("key", "n", "cls")
     shared = cut(rows.mapInArrow(_shared, "key long, n long, cls long, other long, other_n long, band int"))
-    involved = shared.select(F.explode(F.array("cls", "other")).alias("cls")).where("cls is not null").distinct()
+    # Common members up to the smaller of two prefixes' last ones are in both prefixes, and at most ceil(0.8 n) - 1 follow, n of
+    # the larger set. So a pair that shares too few prefix shingles can't reach ceil(4 (n + m) / 9) common ones, unless it shares one of a tile.
+    first = shared.where("other is not null").groupBy(F.col("cls").alias("a"), F.col("other").alias("b"), "n", "other_n").agg(F.count("*").alias("k"))
+    first = cut(first.where("k + (4 * greatest(n, other_n) + 4) div 5 - 1 >= (4 * (n + other_n) + 8) div 9").drop("k"))
+    rows = shared.where("other is null").select("key", "n", "cls", "band")
+    involved = first.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(rows.select("cls")).distinct()
     bits = cut(d.where("n > 0").select("cls", "bits").join(involved, "cls", "left_semi").groupBy("cls").agg(F.first("bits").alias("bits")))
-    first = shared.where("other is not null").select(F.col("cls").alias("a"), F.col("other").alias("b"), "n", "other_n").distinct()
     first = first.join(bits.select(F.col("cls").alias("a"), F.col("bits").alias("x")), "a").join(bits.select(F.col("cls").alias("b"), F.col("bits").alias("y")), "b")
     first = first.select("a", "b", "n", "other_n", "x", "y").mapInArrow(_possible, "a long, b long")
     # Tiles: one for each key, but for keys of several bands one for each pair of bands of compatible sizes.
-    rows = shared.where("other is null").select("key", "n", "cls", "band")
     bands = rows.groupBy("key", "band").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     wide = bands.where("band > 0").select("key").distinct()
     bands = bands.join(wide, "key", "left_semi")
