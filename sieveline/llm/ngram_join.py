@@ -9,7 +9,8 @@ are never paired. The join is exact for classes:
    at rare shingles alone are counted: sets of like sizes have to share many of them.
 2. A shared prefix shingle's classes, sorted by set size, are cut into blocks of
    ``BAND`` rows: size bands. Each pair of bands whose sizes are compatible is a tile.
-3. In a tile the bit count of two bitmaps' difference bounds the overlap from above.
+3. In a tile the bit count of two bitmaps' difference bounds the overlap from above;
+   bitmaps are as wide as their sets are large, and a wide one folds to half its width.
    From the pairs that pass, small tiles give all, larger ones a maximum spanning
    forest: links inside a forest's component can't change a component.
 4. Each given pair is verified by intersecting the sorted arrays. Larger tiles that
@@ -35,8 +36,9 @@ from pyspark.sql import functions as F
 from sieveline.llm import textscan
 from sieveline.llm.common import components, cut
 
-TABLE_BITS, WIDTH, BAND, SMALL = 18, 2048, 1024, 8
-_LONGS = WIDTH // 64
+TABLE_BITS, BAND, SMALL = 18, 1024, 8
+#: A bitmap has the smallest power of two of bits that is ``SPREAD`` times the set's size, at least ``NARROW``.
+NARROW, SPREAD = 256, 2
 
 
 def _sets(data: np.ndarray, at: np.ndarray, weight: np.ndarray | None = None):
@@ -64,11 +66,24 @@ def _classes(h: np.ndarray, n: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _bitmaps(h: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
+def _widths(n: np.ndarray) -> np.ndarray:
+    """Bits of the bitmaps of sets of these sizes."""
+    return 1 << np.ceil(np.log2(np.maximum(n * SPREAD, NARROW))).astype(np.int64)
+
+
+def _bitmaps(h: np.ndarray, doc: np.ndarray, width: np.ndarray) -> pa.Array:
     """Parity bitmaps: the difference of two has at most one bit per element of the symmetric difference."""
-    bit = (h & np.uint64(WIDTH - 1)).astype(np.int64)
-    parity = (np.bincount(doc * WIDTH + bit, minlength=n_docs * WIDTH) & 1).astype(bool)
-    return np.packbits(parity.reshape(n_docs, WIDTH), axis=1, bitorder="little")
+    end = np.cumsum(width)
+    bit = (end - width)[doc] + (h & (width[doc] - 1).astype(np.uint64)).astype(np.int64)
+    parity = (np.bincount(bit, minlength=end[-1]) & 1).astype(bool)
+    at = np.concatenate([[0], end // 8]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(width), [None, pa.py_buffer(at), pa.py_buffer(np.packbits(parity, bitorder="little"))])
+
+
+def _half(bits: np.ndarray) -> np.ndarray:
+    """The same sets' bitmaps of half the width."""
+    k = bits.shape[-1] // 2
+    return bits[..., :k] ^ bits[..., k:]
 
 
 def _fresh(cls: np.ndarray, seen: set) -> np.ndarray:
@@ -81,22 +96,17 @@ def _fresh(cls: np.ndarray, seen: set) -> np.ndarray:
     return out
 
 
-def _binary(rows: np.ndarray) -> pa.Array:
-    """Equal-length byte rows as a binary column."""
-    k, size = rows.shape
-    return pa.Array.from_buffers(pa.binary(), k, [None, pa.py_buffer(np.arange(k + 1, dtype=np.int32) * size), pa.py_buffer(np.ascontiguousarray(rows))])
-
-
 def _describe(batches):
     for batch, data, at in textscan.blocks(batches, most=textscan.BLOCK // 2):
         h, doc, n, first = _sets(data, at)
         cls = _classes(h, n, first)
-        step = 256
-        for i in range(0, len(n), step):
-            j = min(len(n), i + step)
-            own = slice(int(first[i]), int(first[j - 1] + n[j - 1]))
-            bits = _bitmaps(h[own], doc[own] - i, j - i)
-            yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(n[i:j]), pa.array(cls[i:j].view(np.int64)), _binary(bits)], ["doc_id", "n", "cls", "bits"])
+        width = _widths(n)
+        # Some 2 ** 22 bits at a time.
+        ends = [*(np.flatnonzero(np.diff(np.cumsum(width) >> 22)) + 1).tolist(), len(n)]
+        for i, j in zip([0, *ends[:-1]], ends, strict=True):
+            if i < j:
+                own = slice(int(first[i]), int(first[j - 1] + n[j - 1]))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(n[i:j]), pa.array(cls[i:j].view(np.int64)), _bitmaps(h[own], doc[own] - i, width[i:j])], ["doc_id", "n", "cls", "bits"])
 
 
 def _count(batches):
@@ -221,40 +231,67 @@ def _possible(batches):
     """Of pairs with sizes and bitmaps those whose overlap bound passes."""
     for batch in batches:
         n, m = (batch.column(c).to_numpy() for c in ("n", "other_n"))
-        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, _LONGS) for c in ("x", "y"))
-        bound = (n + m - np.bitwise_count(x ^ y).sum(1, dtype=np.int64)) // 2
-        yield batch.select(["a", "b"]).filter(pa.array(9 * bound >= 4 * (n + m)))
-
-
-def _bounds(n: np.ndarray, bits: np.ndarray, u: int) -> tuple[np.ndarray, np.ndarray]:
-    """Upper bounds of the overlaps with row u, as a share of both sizes; and whether they allow a link."""
-    total = n + n[u]
-    bound = (total - np.bitwise_count(bits ^ bits[u]).sum(1, dtype=np.int64)) // 2
-    return bound / total, (9 * bound >= 4 * total) & _compatible(n, n[u])
-
-
-def _forest(n: np.ndarray, bits: np.ndarray) -> list[tuple[int, int]]:
+        apart = np.zeros(len(n), np.int64)
+        for k, pair in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
+            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in pair)
+            if len(x) != len(y):
+                x, y = (_half(x), y) if len(x) > len(y) else (x, _half(y))
+            apart[k] = np.bitwise_count(x ^ y).sum(dtype=np.int64)
+        yield batch.select(["a", "b"]).filter(pa.array(9 * ((n + m - apart) // 2) >= 4 * (n + m)))
+
+
+class _Tile:
+    """Sets in order of size: their bitmaps by width. Compatible sizes have the same width or one the double of the other."""
+
+    def __init__(self, n: np.ndarray, raw: list[bytes]):
+        self.n = n
+        self.lo, self.hi = np.searchsorted(5 * n, 4 * n), np.searchsorted(4 * n, 5 * n, "right")
+        width = np.array([len(x) for x in raw])
+        cuts = [0, *(np.flatnonzero(np.diff(width)) + 1).tolist(), len(n)]
+        self.groups = []
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            bits = np.frombuffer(b"".join(raw[s:e]), np.uint64).reshape(e - s, -1)
+            self.groups.append((s, e, bits, _half(bits)))
+
+    def bounds(self, u: int, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        """Upper bounds of the overlaps of row u with rows lo to hi, as a share of both sizes; and whether they allow a link."""
+        own, half = next((bits[u - s], halves[u - s]) for s, e, bits, halves in self.groups if s <= u < e)
+        apart = np.zeros(hi - lo, np.int64)
+        for s, e, bits, halves in self.groups:
+            a, b = max(s, lo), min(e, hi)
+            if a < b:
+                wide = bits.shape[1]
+                x, y = (bits, own) if wide == len(own) else (halves, own) if wide > len(own) else (bits, half)
+                apart[a - lo : b - lo] = np.bitwise_count(x[a - s : b - s] ^ y).sum(1, dtype=np.int64)
+        total = self.n[lo:hi] + self.n[u]
+        bound = (total - apart) // 2
+        return bound / total, 9 * bound >= 4 * total
+
+
+def _forest(tile: _Tile) -> list[tuple[int, int]]:
     """A maximum spanning forest (Prim) of the pairs whose overlap bound passes."""
-    m, out = len(n), []
+    m, out = len(tile.n), []
     best, parent, inside = np.full(m, -1.0), np.full(m, -1), np.zeros(m, bool)
     u = 0
     for _ in range(m):
         inside[u] = True
         if parent[u] >= 0:
             out.append((int(parent[u]), u))
-        share, passes = _bounds(n, bits, u)
-        better = passes & (share > best) & ~inside
-        best[better], parent[better] = share[better], u
+        near = slice(int(tile.lo[u]), int(tile.hi[u]))
+        share, passes = tile.bounds(u, near.start, near.stop)
+        better = near.start + np.flatnonzero(passes & (share > best[near]) & ~inside[near])
+        best[better], parent[better] = share[better - near.start], u
         u = int(np.where(inside, -2.0, best).argmax())
     return out
 
 
-def _between(n: np.ndarray, bits: np.ndarray, comp: np.ndarray) -> list[tuple[int, int]]:
+def _between(tile: _Tile, comp: np.ndarray) -> list[tuple[int, int]]:
     """All pairs of different components whose overlap bound passes."""
     out = []
-    for u in range(len(n) - 1):
-        _, passes = _bounds(n[u:], bits[u:], 0)
-        out += [(u, u + int(v)) for v in np.flatnonzero(passes & (comp[u:] != comp[u]))]
+    for u in range(len(tile.n) - 1):
+        if u + 1 < (hi := int(tile.hi[u])):
+            _, passes = tile.bounds(u, u + 1, hi)
+            out += [(u, u + 1 + int(v)) for v in np.flatnonzero(passes & (comp[u + 1 : hi] != comp[u]))]
     return out
 
 
@@ -266,13 +303,14 @@ def _tiles(batches, again: bool):
     def pairs(t: pa.Table):
         tile = np.stack([t.column(c).to_numpy() for c in ("key", "i", "j")], 1)
         n, cls, comp = (t.column(c).to_numpy() for c in ("n", "cls", "comp"))
-        bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, _LONGS)
+        bits = t.column("bits").to_pylist()
         begin = np.concatenate([[0], np.flatnonzero((tile[1:] != tile[:-1]).any(1)) + 1, [len(n)]])
         new = []
         for s, e in zip(begin[:-1], begin[1:], strict=True):
             own = slice(s, e)
             names = cls[own].tolist()
-            for u, v in _between(n[own], bits[own], comp[own]) if again else _forest(n[own], bits[own]):
+            rows = _Tile(n[own], bits[own])
+            for u, v in _between(rows, comp[own]) if again else _forest(rows):
                 p = (min(names[u], names[v]), max(names[u], names[v]))
                 if p not in given:
                     given.add(p)
@@ -392,15 +430,15 @@ def ngram_components(docs: DataFrame) -> DataFrame:
         t = tiled.select("key", "i", "j", "n", "cls", "comp").join(bits, "cls").select("key", "i", "j", "n", "cls", "bits", "comp")
         return t.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "cls").mapInArrow(partial(_tiles, again=again), "a long, b long")
 
-    # Arrays once, for the first pairs and for all that a second round can ask for.
-    pairs = cut(first.unionByName(candidates(tiled.withColumn("comp", F.col("cls")), False)).distinct())
-    arrays = _arrays(docs, cut(pairs.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(rows.select("cls")).distinct()))
-    left, right = arrays.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), arrays.select(F.col("cls").alias("b"), F.col("shingles").alias("sb"))
-
     def verified(pairs: DataFrame) -> DataFrame:
+        pairs = cut(pairs)
+        if pairs.isEmpty():
+            return pairs
+        arrays = _arrays(docs, cut(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()))
+        left, right = arrays.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), arrays.select(F.col("cls").alias("b"), F.col("shingles").alias("sb"))
         return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_verify, "a long, b long"))
 
-    links = verified(pairs)
+    links = verified(first.unionByName(candidates(tiled.withColumn("comp", F.col("cls")), False)).distinct())
     comp = components(links)
     # Pairs of short runs are all verified; a tile of one component has none left.
     c = comp.select(F.col("node").alias("cls"), F.col("component").alias("c"))
