@@ -1,68 +1,133 @@
-"""Line dedup by content-defined chunks of lines, all native.
-
-A text's units are its lines; a line also breaks behind a sentence's end, so that a
-passage inside a long line is found. Each unit is hashed, a buzhash rolls over two
-units, and a chunk ends where the rolling hash is a strict local minimum: a rule
-that only looks at the neighbouring units, so inserted text shifts no boundary
-further away. Chunks have two units at least, but for a text's first and last.
-Chunks of two or more units and ``min_words`` words whose hash repeats anywhere are
-compared byte by byte, by grouping on their texts; all but the first occurrence
-(smallest doc_id, then text hash, then place) are removed, with their line feeds.
-A hash that two different texts share removes nothing.
+"""Line dedup by content-defined seeds of words that grow to whole repeated spans, all native.
+
+A text's units are its words, each with the white space behind it. A seed is a run of
+``min_words`` words. It begins where a unit's hash is the least of its ``RADIUS``
+neighbours on both sides, at a text's start, ``min_words`` before its end, and at every
+word of a stretch of over ``GAP`` words without such a place. Which words are seeds
+depends on ``RADIUS`` neighbours or a whole stretch only, so a passage of
+``GAP + RADIUS + min_words`` words or more (50 here) always holds one, wherever it stands.
+
+Seeds whose hash repeats anywhere are grown at the ends of each repeated stretch, word
+by word, to the longest run that an earlier place holds too; a passage's words outside
+its seeds are at most ``REACH`` on each side. Seeds and grown runs are compared byte by
+byte (but for the white space behind the last word); all but the first occurrence
+(smallest doc_id, then text hash, then place) are removed. A hash that two different
+texts share removes nothing.
 
 Edge cases: null texts stay null, empty ones empty; rows that repeat an id with the
 same text count as one and keep equal texts; null ids are compared like any other;
-runs of one repeated unit have no local minimum and make one chunk.
+repeats of fewer than ``min_words`` words stay.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import WORD, cut
+from sieveline.llm.common import cut
 
-_BREAK = r"(?<=\n)|(?<=[.!?] )"
+_BREAK = r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"
+_BLANK = " \t\n\x0b\f\r"
+RADIUS, GAP = 5, 35
+#: Words of a passage before its first seed or behind its last, at most.
+REACH = GAP + RADIUS
 
 
 def _units(col) -> F.Column:
     return F.split(col, _BREAK)
 
 
-def _chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, th, start, n, ch: one row per chunk of two units or more, with its hash but not its text."""
-    d = docs.where("text <> ''").select("doc_id", F.xxhash64("text").alias("th"), _units(F.col("text")).alias("units"))
-    d = d.withColumn("h", F.transform("units", lambda u: F.xxhash64(u)))
-    turn = lambda x: F.shiftleft(x, 1).bitwiseOR(F.shiftrightunsigned(x, 63))
-    d = d.withColumn("roll", F.transform("h", lambda x, i: x.bitwiseXOR(turn(F.coalesce(F.get("h", i - 1), F.lit(0))))))
+def _hashes(units) -> F.Column:
+    return F.transform(units, lambda u: F.xxhash64(u))
+
+
+def _key(start, n) -> F.Column:
+    """Hash of ``n`` units from ``start``, without the white space behind the last one; columns h and units."""
+    return F.xxhash64(F.slice("h", start + 1, n - 1), F.rtrim(F.get("units", start + n - 1), F.lit(_BLANK)))
+
+
+def _seeds(docs: DataFrame, k: int) -> DataFrame:
+    """doc_id, th, starts, chs: one row per text, with the places and hashes of its seeds."""
+    d = docs.where("text <> ''").select("doc_id", F.xxhash64("text").alias("th"), _units(F.col("text")).alias("units")).where(F.size("units") >= k)
+    d = d.withColumn("h", _hashes(F.col("units")))
     top = F.lit(2**63 - 1)
-    low = lambda x, i: (x < F.coalesce(F.get("roll", i - 1), top)) & (x < F.coalesce(F.get("roll", i + 1), top))
-    flags = F.transform("roll", lambda x, i: F.when(low(x, i), i + 1))
-    d = d.withColumn("starts", F.concat(F.array(F.lit(0)), F.filter(flags, lambda i: i.isNotNull() & (i < F.size("units")))))
-    length = lambda s, j: F.coalesce(F.get("starts", j + 1), F.size("units")) - s
-    chunks = F.transform("starts", lambda s, j: F.struct(s.alias("start"), length(s, j).alias("n"), F.xxhash64(F.slice("h", s + 1, length(s, j))).alias("ch")))
-    return d.select("doc_id", "th", F.explode(F.filter(chunks, lambda c: c["n"] >= 2)).alias("c")).select("doc_id", "th", "c.start", "c.n", "c.ch")
+
+    def low(x, i):
+        is_low = F.lit(True)
+        for r in range(1, RADIUS + 1):
+            is_low = is_low & (x < F.coalesce(F.get("h", i - r), top)) & (x <= F.coalesce(F.get("h", i + r), top))
+        return is_low
+
+    last = F.size("units") - k
+    d = d.withColumn("low", F.filter(F.transform("h", lambda x, i: F.when(low(x, i), i)), lambda i: i.isNotNull()))
+    d = d.withColumn("bounds", F.concat(F.array(F.lit(-1)), "low", F.array(F.size("units"))))
+    none = F.array().cast("array<int>")
+    stretch = lambda b, j: F.when(F.get("bounds", j + 1) - b > GAP, F.sequence(b + 1, F.get("bounds", j + 1) - 1)).otherwise(none)
+    starts = F.array_distinct(F.concat(F.array(F.lit(0), last), "low", F.flatten(F.transform("bounds", stretch))))
+    d = d.withColumn("starts", F.filter(starts, lambda s: s <= last))
+    return d.select("doc_id", "th", "starts", F.transform("starts", lambda s: _key(s, F.lit(k))).alias("chs"))
+
+
+def _with_texts(keyed: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
+    """The texts that ``rows`` name as units, with the rows of each as a list ``seen``."""
+    lists = rows.groupBy("doc_id", "th").agg(F.collect_list(F.struct(*columns)).alias("seen")).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "seen")
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th"))
+    return keyed.select("doc_id", "text", "_key").join(lists, on).select("doc_id", F.col("_key").alias("th"), _units(F.col("text")).alias("units"), "seen")
+
+
+def _grown(keyed: DataFrame, again: DataFrame, k: int) -> DataFrame:
+    """doc_id, th, start, n, ch, later: the longest repeated runs at the ends of repeated stretches, and their first places."""
+    row = Window.partitionBy("doc_id", "th").orderBy("start")
+    ends = again.where("later").select("ch", (F.col("start") - F.lag("start").over(row)).alias("before"), (F.lead("start").over(row) - F.col("start")).alias("behind"))
+    left, right = F.coalesce(F.col("before") > k, F.lit(True)), F.coalesce(F.col("behind") > k, F.lit(True))
+    sides = ends.where(left | right).groupBy(F.col("ch").alias("k")).agg(F.max(left).alias("left"), F.max(right).alias("right"))
+    there = again.join(sides, again.ch == F.col("k")).select("doc_id", "th", "start", "left", "right")
+    d = _with_texts(keyed, there, "start", "left", "right").withColumn("h", _hashes(F.col("units")))
+
+    def runs(g):
+        ahead = F.least(g["start"], F.lit(REACH))
+        after = F.least(F.size("units") - k - g["start"], F.lit(REACH))
+        left = F.transform(F.slice(steps, 1, F.when(g["left"], ahead).otherwise(0)), lambda x: _key(g["start"] - x, x + k))
+        right = F.transform(F.slice(steps, 1, F.when(g["right"], after).otherwise(0)), lambda x: _key(g["start"], x + k))
+        return F.array(F.struct(g["start"].alias("at"), F.lit(False).alias("side"), left.alias("keys")), F.struct(g["start"].alias("at"), F.lit(True).alias("side"), right.alias("keys")))
+
+    steps = F.sequence(F.lit(1), F.lit(REACH))
+    x = cut(d.select("doc_id", "th", F.explode(F.flatten(F.transform("seen", runs))).alias("x")).select("doc_id", "th", "x.*"))
+    x = x.select("doc_id", "th", "at", "side", F.posexplode("keys").alias("step", "ch"))
+    x = x.select("doc_id", "th", "at", "side", (F.col("at") - F.when(F.col("side"), 0).otherwise(F.col("step") + 1)).alias("start"), (F.col("step") + 1 + k).alias("n"), "ch")
+    place = F.struct("doc_id", "th", "start")
+    first = x.groupBy("ch").agg(F.count("*").alias("copies"), F.min(place).alias("first")).where("copies > 1").select(F.col("ch").alias("k"), "first")
+    longer = x.join(first, x.ch == F.col("k")).where(~place.eqNullSafe(F.col("first")))
+    best = cut(longer.groupBy("doc_id", "th", "at", "side").agg(F.max(F.struct("n", "start", "ch", "first")).alias("b")).select("doc_id", "th", "b.*"))
+    kept = best.select("first.doc_id", "first.th", "first.start", "n", "ch", F.lit(False).alias("later"))
+    return best.select("doc_id", "th", "start", "n", "ch", F.lit(True).alias("later")).unionByName(kept).distinct()
 
 
 def dedup_lines(docs: DataFrame, min_words: int = 10) -> DataFrame:
-    """The rows of ``docs`` with ``text`` cut, ``n_units``, ``n_removed`` (units) and ``removed_chars``; other columns stay."""
-    c = cut(_chunks(docs))
-    first = c.groupBy("ch").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "th", "start")).alias("first")).where("copies > 1").select(F.col("ch").alias("k"), "first")
-    again = cut(c.join(first, c.ch == first.k).withColumn("later", ~F.struct("doc_id", "th", "start").eqNullSafe(F.col("first"))).select("doc_id", "th", "start", "n", "ch", "later"))
-    lists = again.distinct().groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "n", "ch")).alias("seen")).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "seen")
+    """The rows of ``docs`` with ``text`` cut, ``n_units``, ``n_removed`` (words) and ``removed_chars``; other columns stay."""
     keyed = docs.withColumn("_key", F.xxhash64("text"))
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th"))
-    texts = keyed.select("doc_id", "text", "_key").join(lists, on).withColumn("u", _units(F.col("text"))).select(F.explode(F.transform("seen", lambda g: F.struct(g["ch"].alias("ch"), F.array_join(F.slice("u", g["start"] + 1, g["n"]), "").alias("chunk")))).alias("x"))
-    compared = texts.select("x.ch", "x.chunk").groupBy("ch", "chunk").agg(F.count("*").alias("rows")).groupBy("ch").agg(F.count("*").alias("texts"), F.min(F.regexp_count("chunk", F.lit(WORD))).alias("words"))
-    equal = compared.where((F.col("texts") == 1) & (F.col("words") >= min_words)).select(F.col("ch").alias("k"))
-    same = again.where("later").join(equal, again.ch == F.col("k"))
-    gone = same.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "n")).alias("_gone")).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "_gone")
-    out = keyed.join(gone, on, "left")
-    units = _units(F.col("text"))
-    stays = F.filter(units, lambda u, i: ~F.exists("_gone", lambda g: (i >= g["start"]) & (i < g["start"] + g["n"])))
+    # Kept as one row per text, a third of the bytes.
+    c = cut(_seeds(docs, min_words)).select("doc_id", "th", F.explode(F.arrays_zip("starts", "chs")).alias("c")).select("doc_id", "th", F.col("c.starts").alias("start"), F.col("c.chs").alias("ch"))
+    place = F.struct("doc_id", "th", "start")
+    first = c.groupBy("ch").agg(F.count("*").alias("copies"), F.min(place).alias("first")).where("copies > 1").select(F.col("ch").alias("k"), "first")
+    again = cut(c.join(first, c.ch == first.k).select("doc_id", "th", "start", "ch", (~place.eqNullSafe(F.col("first"))).alias("later")).distinct())
+    pieces = cut(again.select("doc_id", "th", "start", F.lit(min_words).alias("n"), "ch", "later").unionByName(_grown(keyed, again, min_words)))
+    texts = _with_texts(keyed, pieces, "start", "n", "ch").select(F.explode(F.transform("seen", lambda g: F.struct(g["ch"].alias("ch"), F.rtrim(F.array_join(F.slice("units", g["start"] + 1, g["n"]), ""), F.lit(_BLANK)).alias("run")))).alias("x"))
+    compared = texts.select("x.ch", "x.run").groupBy("ch", "run").agg(F.count("*").alias("rows")).groupBy("ch").agg(F.count("*").alias("texts"))
+    equal = compared.where("texts = 1").select(F.col("ch").alias("k"))
+    same = pieces.where("later").join(equal, pieces.ch == F.col("k")).select("doc_id", "th", "start", (F.col("start") + F.col("n")).alias("end"))
+    # Overlapping runs of a text meet in one span.
+    row = Window.partitionBy("doc_id", "th").orderBy("start", "end")
+    reached = same.withColumn("reached", F.max("end").over(row.rowsBetween(Window.unboundedPreceding, -1)))
+    spans = reached.withColumn("span", F.sum(F.when(F.col("start") <= F.col("reached"), 0).otherwise(1)).over(row.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = spans.groupBy("doc_id", "th", "span").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    gone = spans.groupBy("doc_id", "th").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_gone")).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "_gone")
+    out = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th")), "left").withColumn("_units", _units(F.col("text")))
+    bounds = F.concat("_gone", F.array(F.struct(F.size("_units").alias("start"), F.lit(0).alias("end"))))
+    stays = F.transform(bounds, lambda b, j: F.array_join(F.slice("_units", F.coalesce(F.get("_gone", j - 1)["end"], F.lit(0)) + 1, b["start"] - F.coalesce(F.get("_gone", j - 1)["end"], F.lit(0))), ""))
     cut_text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(stays, ""))
-    removed = F.coalesce(F.aggregate("_gone", F.lit(0), lambda a, g: a + g["n"]), F.lit(0))
+    removed = F.coalesce(F.aggregate("_gone", F.lit(0), lambda a, g: a + g["end"] - g["start"]), F.lit(0))
     before = F.coalesce(F.length("text"), F.lit(0))
     out = out.withColumns({"_text": cut_text, "n_removed": removed.cast("long")})
-    out = out.withColumns({"n_units": F.when(F.coalesce(F.col("text"), F.lit("")) == "", 0).otherwise(F.size(units)).cast("long"), "removed_chars": (before - F.coalesce(F.length("_text"), F.lit(0))).cast("long")})
-    return out.withColumn("text", F.col("_text")).drop("_text", "_key", "_id", "_th", "_gone")
+    out = out.withColumns({"n_units": F.when(F.coalesce(F.col("text"), F.lit("")) == "", 0).otherwise(F.size("_units")).cast("long"), "removed_chars": (before - F.coalesce(F.length("_text"), F.lit(0))).cast("long")})
+    return out.withColumn("text", F.col("_text")).drop("_text", "_key", "_id", "_th", "_gone", "_units")

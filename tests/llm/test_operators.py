@@ -86,6 +86,26 @@ def test_line_dedup(spark):
     for i in (1, 2, 3):
         assert got[i]["text"].startswith("Own start") and len(got[i]["text"]) + got[i]["removed_chars"] == len(rows[i][1])
 
+@pytest.mark.parametrize("words", [51, 55, 60])
+def test_line_dedup_removes_whole_passages(spark, words):
+    """Passages just over 50 words in two documents each, on one line, between other words."""
+    rows, passages = [], [prose(1000 * words + j, words) for j in range(60)]
+    for j, p in enumerate(passages):
+        for side in (0, 1):
+            a, b = prose(77_000 + 2 * j + side, 40 + j), prose(99_000 + 2 * j + side, 40)
+            rows.append((100 * side + j, f"{a} {p}{' ' if side else chr(10)}{b}", "en", "s"))
+    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(frame(spark, rows)).collect()}
+    for i, text, _, _ in rows:
+        p = passages[i % 100]
+        assert got[i] == (text if i < 100 else text.replace(p + " ", "")), i
+
+
+def test_line_dedup_repeated_words_and_short_periods(spark):
+    """A passage of two words in turn has no least hash; it goes all the same."""
+    p = "ping pong " * 30
+    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(frame(spark, [(1, f"{prose(5, 20)} {p}{prose(6, 20)}", "en", "s"), (2, f"{prose(7, 20)} {p}{prose(8, 20)}", "en", "s")])).collect()}
+    assert got[2] == f"{prose(7, 20)} {prose(8, 20)}"
+
 
 def test_embeddings(spark):
     rng = np.random.default_rng(1)
