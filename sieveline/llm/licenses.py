@@ -2,14 +2,15 @@
 
 All rolling word 2-gram hashes of the documents are joined to the positions of
 such grams in the templates. A hit votes for the diagonal ``document position -
-template position``. Votes are summed per (document, template, diagonal);
+template position``. Votes are summed per (id and text, template, diagonal);
 neighbouring diagonals (words inserted or left out) that overlap are merged, and a
 merged span is verified by the share of the template's positions that it holds.
 A phrase counts where all its grams lie on one diagonal. Grams are compared as
 words after the hashes met, so no hash collision counts.
 
 Edge cases: null text is empty; texts with fewer than two words have no hits; rows
-with a null doc_id share one result; without hits the positions are null and the
+that repeat an id (or have none) with the same text count once and share a result, those with
+another text have their own; without hits the positions are null and the
 labels empty; an empty table gives no rows.
 """
 
@@ -59,25 +60,26 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
     # As many rows as the fixed lists have words: a proven bound for the broadcast.
     positions = t.withColumn("w", F.split("phrase", " ")).select("template", "label", "base", "n_grams", F.posexplode(_grams(F.col("w"))).alias("tpl_pos", "gram"))
     positions = F.broadcast(positions.select("template", "label", "base", "n_grams", "tpl_pos", F.col("gram.h").alias("th"), F.col("gram.g").alias("tg")))
-    d = docs.select("doc_id", _words(F.col("text")).alias("words"))
-    rolled = d.select("doc_id", F.posexplode(_grams(F.col("words"))).alias("pos", "gram")).select("doc_id", "pos", F.col("gram.h").alias("h"), F.col("gram.g").alias("g"))
+    d = docs.select("doc_id", F.xxhash64("text").alias("key"), _words(F.col("text")).alias("words"))
+    rolled = d.select("doc_id", "key", F.posexplode(_grams(F.col("words"))).alias("pos", "gram")).select("doc_id", "key", "pos", F.col("gram.h").alias("h"), F.col("gram.g").alias("g"))
     hits = rolled.join(positions, (F.col("h") == F.col("th")) & (F.col("g") == F.col("tg"))).withColumn("diagonal", F.col("pos") - F.col("tpl_pos"))
-    votes = hits.groupBy("doc_id", "template", "label", "base", "n_grams", "diagonal").agg(F.count("*").alias("votes"), F.min("pos").alias("lo"), F.max("pos").alias("hi"))
+    hits = hits.select("doc_id", "key", "template", "label", "base", "n_grams", "diagonal", "pos").distinct()
+    votes = hits.groupBy("doc_id", "key", "template", "label", "base", "n_grams", "diagonal").agg(F.count("*").alias("votes"), F.min("pos").alias("lo"), F.max("pos").alias("hi"))
     exact = F.col("base") & (F.col("votes") == F.col("n_grams"))
-    near = Window.partitionBy("doc_id", "template").orderBy("diagonal")
+    near = Window.partitionBy("doc_id", "key", "template").orderBy("diagonal")
     new = F.coalesce(((F.col("diagonal") - F.lag("diagonal").over(near)) > DRIFT) | ((F.col("lo") - F.lag("hi").over(near)) > 1 + DRIFT) | ((F.lag("lo").over(near) - F.col("hi")) > 1 + DRIFT), F.lit(True))
     merged = votes.withColumn("span", F.sum(F.when(new, 1).otherwise(0)).over(near))
-    spans = merged.groupBy("doc_id", "template", "span").agg(
+    spans = merged.groupBy("doc_id", "key", "template", "span").agg(
         F.first("label").alias("label"), F.first("base").alias("base"), F.sum(F.when(exact, 1).otherwise(0)).alias("places"), F.least(F.sum("votes") / F.first("n_grams"), F.lit(1.0)).alias("share"),
         F.min(F.when(exact, F.col("diagonal"))).alias("first"), F.max(F.when(exact, F.col("diagonal"))).alias("last"),
     )
     held = spans.where(F.when(F.col("base"), F.col("places") > 0).otherwise(F.col("share") >= SHARE))
-    found = held.groupBy("doc_id").agg(
+    found = held.groupBy("doc_id", "key").agg(
         F.sum("places").cast("long").alias("n_base"), F.min("first").cast("long").alias("first_word"), F.max("last").cast("long").alias("last_word"),
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("base"), F.col("label")))), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.collect_set("label")), ",").alias("labels"), F.max("share").alias("score"),
     )
-    counted = docs.select("doc_id", F.regexp_count(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), F.lit(TOKEN)).cast("long").alias("n_words"))
-    f = found.withColumnRenamed("doc_id", "found_id")
+    counted = docs.select("doc_id", F.xxhash64("text").alias("key"), F.regexp_count(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), F.lit(TOKEN)).cast("long").alias("n_words"))
+    f = found.withColumnsRenamed({"doc_id": "found_id", "key": "found_key"})
     none = lambda c, v: F.coalesce(c, F.lit(v)).alias(c)
-    return counted.join(f, F.col("doc_id").eqNullSafe(F.col("found_id")), "left").select("doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word", none("base_labels", ""), none("labels", ""), none("score", 0.0))
+    return counted.join(f, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("key") == F.col("found_key")), "left").select("doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word", none("base_labels", ""), none("labels", ""), none("score", 0.0))

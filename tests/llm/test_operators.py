@@ -161,6 +161,17 @@ def test_licenses(spark):
     assert (got[2]["n_base"], got[2]["base_labels"]) == (3, "cc-by,gpl") and got[3]["labels"] == "" and got[3]["first_word"] is None
 
 
+def test_licenses_of_repeated_ids(spark):
+    """Rows that share an id, or have none, have the results that they have alone."""
+    texts = ["all rights reserved", "all rights reserved", "all rights reserved and cc by", "permission is hereby granted free of charge to any", "other words here free of charge to any person obtaining a copy of this software"]
+    alone = [r.asDict() for r in licenses.scan(frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])).orderBy("doc_id").collect()]
+    want = sorted(str({**r, "doc_id": 0}) for r in alone)
+    assert alone[0]["n_base"] == 1 and alone[0]["labels"] == "reserved"
+    for same in (5, None):
+        got = licenses.scan(frame(spark, [(same, t, "en", "s") for t in texts])).collect()
+        assert sorted(str({**r.asDict(), "doc_id": 0}) for r in got) == want
+
+
 def test_tokens_add_up():
     enc, length = tokens._encoder(tokens.ranks(queries.RANKS))
     for text in ("", "one line", "first line\nsecond  line\nlast été", "\n\n"):
