@@ -19,7 +19,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.llm import textscan
@@ -175,17 +175,34 @@ def _table(pieces: tuple[bytes, ...]) -> Pieces:
     return Pieces(list(pieces))
 
 
+def quotas(counts: dict[str, int], max_rows: int) -> dict[str, int]:
+    """Rows to take of each language: all of the small ones, the rest in equal parts, one at least."""
+    out, left = {}, max_rows
+    for i, (lang, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        out[lang] = max(1, min(n, left // (len(counts) - i)))
+        left -= out[lang]
+    return out
+
+
 def training_rows(docs: DataFrame, max_rows: int) -> list:
     """text, lang of at most ``max_rows`` labelled rows that aren't held out, about as many of each language."""
     known = docs.where(~is_held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     if not counts:
         return []
-    each = max_rows / len(counts)
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 1.2 * each / r["count"]))])
-    spread = F.xxhash64("doc_id", F.lit("train"))
-    near = known.where(F.pmod(spread, F.lit(2**20)) / 2**20 < F.element_at(share, F.col("lang")))
-    return near.orderBy(spread, "doc_id").limit(max_rows).select("text", "lang").collect()
+    take = F.create_map(*[F.lit(x) for lang, n in quotas({r["lang"]: r["count"] for r in counts}, max_rows).items() for x in (lang, n)])
+    most = max(max_rows, 1)
+    known = known.select("doc_id", "lang", "text", F.xxhash64("doc_id", F.lit("train")).alias("spread"))
+    # Each language's last hash without the texts first: no task keeps more than max_rows of a language.
+    place = Window.partitionBy("lang").orderBy("spread")
+    ranked = known.select("lang", "spread").withColumn("place", F.row_number().over(place)).where(F.col("place") <= most)
+    ends = ranked.where(F.col("place") <= F.element_at(take, F.col("lang"))).groupBy("lang").agg(F.max("spread").alias("end")).collect()
+    end = F.create_map(*[F.lit(x) for r in ends for x in (r["lang"], r["end"])])
+    near = known.where(F.col("spread") <= F.element_at(end, F.col("lang")))
+    # Rows that repeat the last id have its hash.
+    place = Window.partitionBy("lang").orderBy("spread", "doc_id", F.xxhash64("text"))
+    near = near.withColumn("place", F.row_number().over(place)).where(F.col("place") <= most)
+    return near.where(F.col("place") <= F.element_at(take, F.col("lang"))).orderBy("lang", "place").select("text", "lang").collect()
 
 
 def predict(docs: DataFrame, vocabulary_path: str, max_rows: int = 800) -> DataFrame:

@@ -220,6 +220,16 @@ def test_held_out_quality(spark):
     assert np.mean((a[:, None] > b) + 0.5 * (a[:, None] == b)) > 0.8
 
 
+def test_rare_language_is_learned(spark):
+    """Six frequent languages and a rare one: all of the rare one's rows are taken."""
+    rows = [(i, f"text {i}", f"l{i % 6}", "s") for i in range(6000)] + [(i, f"text {i}", "rare", "s") for i in range(6000, 6040)]
+    free = frame(spark, rows).where(~langid.is_held_out(F.col("doc_id")))
+    rare = free.where("lang = 'rare'").count()
+    got = [r["lang"] for r in langid.training_rows(frame(spark, rows), 300)]
+    assert got.count("rare") == rare and len(got) == 300
+    assert all(abs(got.count(f"l{j}") - (300 - rare) / 6) <= 1 for j in range(6))
+
+
 def test_isotonic_rises():
     x, y = toxicity.isotonic(np.array([3.0, 1, 2, 2]), np.array([1.0, 1, 0, 0]))
     assert (np.diff(x) >= 0).all() and (np.diff(y) >= 0).all()
