@@ -193,6 +193,26 @@ def test_leaks(spark):
     assert {(r["doc_id"], r["item_id"]) for r in decontam.find_leaks(frame(spark, rows), bench).collect()} == {(1, 7), (2, 7)}
 
 
+def test_leaks_are_found_whatever_the_cosine(spark):
+    """Verbatim and edited copies at any offset among other words: the same as the longest common subsequence finds."""
+    r, items = random.Random(4), [prose(3000 + j, n) for j, n in enumerate([9, 17, 30, 33, 48, 64, 90, 150] * 3)]
+    rows, want = [], set()
+    for j, item in enumerate(items):
+        for c in range(2):
+            x = item.split()
+            for _ in range(c * (len(x) // 8)):
+                x[r.randrange(len(x))] = "changed"
+            host = prose(5000 + 2 * j + c, 90 + r.randrange(40)).split()
+            at = r.randrange(len(host))
+            rows.append((100 * c + j, " ".join(host[:at] + x + host[at:]), "en", "s"))
+            want.add((100 * c + j, j))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = frame(spark, rows)
+    # No window has such a cosine: what is found is found by its words.
+    assert {(x["doc_id"], x["item_id"]) for x in decontam.find_leaks(docs, bench, min_cosine=1.1).collect()} == want
+    assert {(x["doc_id"], x["item_id"]) for x in decontam.find_leaks(docs, bench).collect()} == want
+
+
 def test_lcs():
     assert decontam.lcs(list("abcde"), list("xaxcxe")) == 3 and decontam.lcs([], [1]) == 0
 
