@@ -1,22 +1,26 @@
-"""Line dedup by content-defined seeds of words that grow to whole repeated spans, all native.
-
-A text's units are its words, each with the white space behind it. A seed is a run of
-``min_words`` words. It begins where a unit's hash is the least of its ``RADIUS``
-neighbours on both sides, at a text's start, ``min_words`` before its end, and at every
-word of a stretch of over ``GAP`` words without such a place. Which words are seeds
-depends on ``RADIUS`` neighbours or a whole stretch only, so a passage of
-``GAP + RADIUS + min_words`` words or more (50 here) always holds one, wherever it stands.
-
-Seeds whose hash repeats anywhere are grown at the ends of each repeated stretch, word
-by word, to the longest run that an earlier place holds too; a passage's words outside
-its seeds are at most ``REACH`` on each side. Seeds and grown runs are compared byte by
-byte (but for the white space behind the last word); all but the first occurrence
-(smallest doc_id, then text hash, then place) are removed. A hash that two different
-texts share removes nothing.
+"""Line dedup by content-defined chunks of words that grow to whole repeated spans, all native.
+
+1. A text's lines are cut down to their words, each with the white space behind it, as whole
+   lines and sentences are too coarse for a passage of 50 words that begins and ends anywhere.
+2. Rolling hashes over two neighbouring words choose boundaries: where one is the least of
+   ``RADIUS`` on both sides, at a text's ends and, in stretches of over ``GAP`` words without
+   a boundary, of ``FINE`` on both sides, or at every word if that leaves as long a stretch.
+   ``min_words`` words from a boundary are a seed, all from one boundary to the next seed's
+   end a chunk. A passage of ``GAP + RADIUS + min_words`` words (50) holds a seed, always.
+3. Hashes that repeat anywhere are counted before the shuffle. The first place (smallest
+   doc_id, then text hash, then place) stays; all later ones are joined to it and compared
+   byte by byte. A hash that two different texts share removes nothing.
+4. Where a stretch of repeated chunks ends, the words beyond it are compared with those
+   beside the first place, up to ``REACH`` words, and equal ones go too: a passage goes whole.
+
+No group of places meets in one task: places join the one first place, and first places are
+read once for each chunk.
 
 Edge cases: null texts stay null, empty ones empty; rows that repeat an id with the
-same text count as one and keep equal texts; null ids are compared like any other;
-repeats of fewer than ``min_words`` words stay.
+same text count as one and keep equal texts; a null id counts as less than any other;
+repeats of fewer than ``min_words`` words stay, but at the edges of longer ones; input
+columns called ``n_units``, ``n_removed`` or ``removed_chars`` are replaced, all others
+stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,11 +28,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import cut
+from sieveline.llm.common import WORD, cut
 
 _BREAK = r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"
 _BLANK = " \t\n\x0b\f\r"
-RADIUS, GAP = 5, 35
+RADIUS, FINE, GAP = 8, 2, 32
 #: Words of a passage before its first seed or behind its last, at most.
 REACH = GAP + RADIUS
 
@@ -37,97 +41,176 @@ def _units(col) -> F.Column:
     return F.split(col, _BREAK)
 
 
-def _hashes(units) -> F.Column:
-    return F.transform(units, lambda u: F.xxhash64(u))
+def _let(value, body) -> F.Column:
+    """``body`` of a value that is worked out once for each row, even if the optimizer moves the expression into a filter or a lambda."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
-def _key(start, n) -> F.Column:
-    """Hash of ``n`` units from ``start``, without the white space behind the last one; columns h and units."""
-    return F.xxhash64(F.slice("h", start + 1, n - 1), F.rtrim(F.get("units", start + n - 1), F.lit(_BLANK)))
+def _join(units, start, end) -> F.Column:
+    return F.array_join(F.slice(units, start + 1, F.greatest(end - start, F.lit(0))), "")
 
 
-def _seeds(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, th, starts, chs: one row per text, with the places and hashes of its seeds."""
-    d = docs.where("text <> ''").select("doc_id", F.xxhash64("text").alias("th"), _units(F.col("text")).alias("units")).where(F.size("units") >= k)
-    d = d.withColumn("h", _hashes(F.col("units")))
+def _bare(col) -> F.Column:
+    return F.rtrim(col, F.lit(_BLANK))
+
+
+def _least(roll, radius: int):
+    """Whether the value at a place is the least of so many on both sides; of equal ones the first is."""
     top = F.lit(2**63 - 1)
 
-    def low(x, i):
-        is_low = F.lit(True)
-        for r in range(1, RADIUS + 1):
-            is_low = is_low & (x < F.coalesce(F.get("h", i - r), top)) & (x <= F.coalesce(F.get("h", i + r), top))
-        return is_low
-
-    last = F.size("units") - k
-    d = d.withColumn("low", F.filter(F.transform("h", lambda x, i: F.when(low(x, i), i)), lambda i: i.isNotNull()))
-    d = d.withColumn("bounds", F.concat(F.array(F.lit(-1)), "low", F.array(F.size("units"))))
-    none = F.array().cast("array<int>")
-    stretch = lambda b, j: F.when(F.get("bounds", j + 1) - b > GAP, F.sequence(b + 1, F.get("bounds", j + 1) - 1)).otherwise(none)
-    starts = F.array_distinct(F.concat(F.array(F.lit(0), last), "low", F.flatten(F.transform("bounds", stretch))))
-    d = d.withColumn("starts", F.filter(starts, lambda s: s <= last))
-    return d.select("doc_id", "th", "starts", F.transform("starts", lambda s: _key(s, F.lit(k))).alias("chs"))
-
-
-def _with_texts(keyed: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
-    """The texts that ``rows`` name as units, with the rows of each as a list ``seen``."""
-    lists = rows.groupBy("doc_id", "th").agg(F.collect_list(F.struct(*columns)).alias("seen")).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "seen")
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th"))
-    return keyed.select("doc_id", "text", "_key").join(lists, on).select("doc_id", F.col("_key").alias("th"), _units(F.col("text")).alias("units"), "seen")
-
-
-def _grown(keyed: DataFrame, again: DataFrame, k: int) -> DataFrame:
-    """doc_id, th, start, n, ch, later: the longest repeated runs at the ends of repeated stretches, and their first places."""
-    row = Window.partitionBy("doc_id", "th").orderBy("start")
-    ends = again.where("later").select("ch", (F.col("start") - F.lag("start").over(row)).alias("before"), (F.lead("start").over(row) - F.col("start")).alias("behind"))
-    left, right = F.coalesce(F.col("before") > k, F.lit(True)), F.coalesce(F.col("behind") > k, F.lit(True))
-    sides = ends.where(left | right).groupBy(F.col("ch").alias("k")).agg(F.max(left).alias("left"), F.max(right).alias("right"))
-    there = again.join(sides, again.ch == F.col("k")).select("doc_id", "th", "start", "left", "right")
-    d = _with_texts(keyed, there, "start", "left", "right").withColumn("h", _hashes(F.col("units")))
-
-    def runs(g):
-        ahead = F.least(g["start"], F.lit(REACH))
-        after = F.least(F.size("units") - k - g["start"], F.lit(REACH))
-        left = F.transform(F.slice(steps, 1, F.when(g["left"], ahead).otherwise(0)), lambda x: _key(g["start"] - x, x + k))
-        right = F.transform(F.slice(steps, 1, F.when(g["right"], after).otherwise(0)), lambda x: _key(g["start"], x + k))
-        return F.array(F.struct(g["start"].alias("at"), F.lit(False).alias("side"), left.alias("keys")), F.struct(g["start"].alias("at"), F.lit(True).alias("side"), right.alias("keys")))
-
-    steps = F.sequence(F.lit(1), F.lit(REACH))
-    x = cut(d.select("doc_id", "th", F.explode(F.flatten(F.transform("seen", runs))).alias("x")).select("doc_id", "th", "x.*"))
-    x = x.select("doc_id", "th", "at", "side", F.posexplode("keys").alias("step", "ch"))
-    x = x.select("doc_id", "th", "at", "side", (F.col("at") - F.when(F.col("side"), 0).otherwise(F.col("step") + 1)).alias("start"), (F.col("step") + 1 + k).alias("n"), "ch")
-    place = F.struct("doc_id", "th", "start")
-    first = x.groupBy("ch").agg(F.count("*").alias("copies"), F.min(place).alias("first")).where("copies > 1").select(F.col("ch").alias("k"), "first")
-    longer = x.join(first, x.ch == F.col("k")).where(~place.eqNullSafe(F.col("first")))
-    best = cut(longer.groupBy("doc_id", "th", "at", "side").agg(F.max(F.struct("n", "start", "ch", "first")).alias("b")).select("doc_id", "th", "b.*"))
-    kept = best.select("first.doc_id", "first.th", "first.start", "n", "ch", F.lit(False).alias("later"))
-    return best.select("doc_id", "th", "start", "n", "ch", F.lit(True).alias("later")).unionByName(kept).distinct()
+    def at(x, i):
+        out = F.lit(True)
+        for r in range(1, radius + 1):
+            out = out & (x < F.coalesce(F.get(roll, i - r), top)) & (x <= F.coalesce(F.get(roll, i + r), top))
+        return out
 
+    return at
 
-def dedup_lines(docs: DataFrame, min_words: int = 10) -> DataFrame:
-    """The rows of ``docs`` with ``text`` cut, ``n_units``, ``n_removed`` (words) and ``removed_chars``; other columns stay."""
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
+
+def _boundaries(roll, k: int) -> F.Column:
+    """Places of a text's boundaries in order, from its rolling hashes (one for each word)."""
+    coarse, fine = _least(roll, RADIUS), _least(roll, FINE)
+    size = F.size(roll)
+    long = lambda at: F.array_max(F.transform(F.slice(at, 2, F.size(at) - 1), lambda x, j: x - F.get(at, j))) > GAP
+
+    def between(at):
+        def one(b, j):
+            # In runs of one word, or of two in turn, all places of a phase say the same: every eighth will do.
+            again = lambda i: ((F.get(roll, i) == F.get(roll, i - 1)) & (i % 8 != 0)) | ((F.get(roll, i) == F.get(roll, i - 2)) & (i % 8 > 1))
+            every = F.filter(F.sequence(b + 1, F.get(at, j + 1) - 1), lambda i: ~F.coalesce(again(i), F.lit(False)))
+            some = F.filter(F.sequence(b + 1, F.get(at, j + 1) - 1), lambda i: fine(F.get(roll, i), i))
+            dense = _let(F.concat(F.array(b), some, F.array(F.get(at, j + 1))), lambda d: F.when(long(d), every).otherwise(some))
+            return F.when(F.get(at, j + 1) - b > GAP, dense).otherwise(F.array().cast("array<int>"))
+
+        return F.concat(at, F.flatten(F.transform(at, one)))
+
+    inner = F.filter(F.transform(roll, lambda x, i: F.when(coarse(x, i), i)), lambda i: i.isNotNull())
+    every = _let(F.concat(F.array(F.lit(-1)), inner, F.array(size)), between)
+    return F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0), size - k), F.filter(every, lambda i: (i >= 0) & (i <= size - k)))))
+
+
+def _chunks(texts: DataFrame, k: int) -> DataFrame:
+    """doc_id, th, chunks (start; ch: the seed's hash; link: that of the words up to the next seed's end, null for the last one): one row per text."""
+
+    def of(units):
+        def chunks(pairs):
+            # Hashes of pairs, and the last word without the white space behind it.
+            key = lambda s, n: F.xxhash64(F.slice(pairs, s + 1, n - 2), _bare(F.get(units, s + n - 1)))
+            one = lambda at: F.transform(at, lambda s, j: F.struct(s.alias("start"), key(s, F.lit(k)).alias("ch"), F.when(F.get(at, j + 1).isNotNull(), key(s, F.get(at, j + 1) + k - s).cast("string").cast("long")).alias("link")))
+            return _let(_boundaries(pairs, k), one)
+
+        pairs = F.transform(units, lambda u, i: F.xxhash64(u, F.get(units, i + 1)))
+        return F.when(F.size(units) >= k, _let(pairs, chunks))
+
+    return texts.where("text <> ''").select("doc_id", "th", _let(_units(F.col("text")), of).alias("chunks"))
+
+
+def _places(texts: DataFrame, k: int) -> DataFrame:
+    """doc_id, th, start, end, ch, seed and the first place's row as ``first``, of seeds and chunks that stand at an earlier place too.
+
+    A chunk's hash says that the seed behind it repeats as well; it ends where that one begins."""
     # Kept as one row per text, a third of the bytes.
-    c = cut(_seeds(docs, min_words)).select("doc_id", "th", F.explode(F.arrays_zip("starts", "chs")).alias("c")).select("doc_id", "th", F.col("c.starts").alias("start"), F.col("c.chs").alias("ch"))
-    place = F.struct("doc_id", "th", "start")
-    first = c.groupBy("ch").agg(F.count("*").alias("copies"), F.min(place).alias("first")).where("copies > 1").select(F.col("ch").alias("k"), "first")
-    again = cut(c.join(first, c.ch == first.k).select("doc_id", "th", "start", "ch", (~place.eqNullSafe(F.col("first"))).alias("later")).distinct())
-    pieces = cut(again.select("doc_id", "th", "start", F.lit(min_words).alias("n"), "ch", "later").unionByName(_grown(keyed, again, min_words)))
-    texts = _with_texts(keyed, pieces, "start", "n", "ch").select(F.explode(F.transform("seen", lambda g: F.struct(g["ch"].alias("ch"), F.rtrim(F.array_join(F.slice("units", g["start"] + 1, g["n"]), ""), F.lit(_BLANK)).alias("run")))).alias("x"))
-    compared = texts.select("x.ch", "x.run").groupBy("ch", "run").agg(F.count("*").alias("rows")).groupBy("ch").agg(F.count("*").alias("texts"))
-    equal = compared.where("texts = 1").select(F.col("ch").alias("k"))
-    same = pieces.where("later").join(equal, pieces.ch == F.col("k")).select("doc_id", "th", "start", (F.col("start") + F.col("n")).alias("end"))
-    # Overlapping runs of a text meet in one span.
+    c = cut(_chunks(texts, k)).select("doc_id", "th", F.posexplode("chunks").alias("j", "c"), "chunks")
+    c = c.select("doc_id", "th", "c.start", "c.ch", "c.link", F.get("chunks", F.col("j") + 1)["start"].alias("next"))
+    twice = c.groupBy("ch").count().where("count > 1").select(F.col("ch").alias("k"))
+    again = cut(c.join(twice, c.ch == F.col("k")).drop("k"))
+    links = again.where("link is not null").select("doc_id", "th", "start", F.col("next").alias("end"), F.xxhash64("ch", "link").alias("ch"), F.lit(False).alias("seed"))
+    every = again.select("doc_id", "th", "start", (F.col("start") + k).alias("end"), "ch", F.lit(True).alias("seed")).unionByName(links)
+    place = F.struct("doc_id", "th", "start", "end")
+    first = every.groupBy("ch").agg(F.min(place).alias("first")).select(F.col("ch").alias("k"), "first")
+    return every.join(first, every.ch == F.col("k")).drop("k").where(~place.eqNullSafe(F.col("first"))).distinct()
+
+
+def _asked(later: DataFrame) -> DataFrame:
+    """Of the later places those that cover all of them, and whether a stretch of them begins (left) or ends (right) there."""
+    row = Window.partitionBy("doc_id", "th").orderBy("start", "seed")
+    x = later.withColumns({"reached": F.max("end").over(row.rowsBetween(Window.unboundedPreceding, -1)), "before": F.lag("start").over(row), "next": F.lead("start").over(row)})
+    # A seed whose chunk repeats is covered by that one and the next seed.
+    x = x.where(~F.col("seed") | F.col("before").isNull() | (F.col("before") < F.col("start")))
+    left, right = F.coalesce(F.col("start") > F.col("reached"), F.lit(True)), F.col("seed") & F.coalesce(F.col("next") > F.col("end"), F.lit(True))
+    return x.select("doc_id", "th", "start", "end", "ch", left.alias("left"), right.alias("right"), "first")
+
+
+def _read(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """doc_id, th, start, end, ch, left, right and the chunk's text, with what stands beside it where ``left`` or ``right`` asks for it."""
+    lists = places.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "end", "ch", "left", "right")).alias("seen")).select(F.col("doc_id").alias("l_id"), F.col("th").alias("l_th"), "seen")
+    on = F.col("doc_id").eqNullSafe(F.col("l_id")) & (F.col("th") == F.col("l_th"))
+
+    def read(units):
+        def one(s):
+            ahead = F.when(s["left"], _join(units, F.greatest(s["start"] - REACH, F.lit(0)), s["start"])).otherwise("")
+            behind = F.when(s["right"], _join(units, s["end"], s["end"] + REACH)).otherwise("")
+            return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["ch"].alias("ch"), _join(units, s["start"], s["end"]).alias("chunk"), ahead.alias("ahead"), behind.alias("behind"))
+
+        return F.transform("seen", one)
+
+    # No filter is inferred from an outer explode, which would read each text twice.
+    x = texts.join(lists, on).select("doc_id", "th", F.explode_outer(_let(_units(F.col("text")), read)).alias("x"))
+    return x.select("doc_id", "th", "x.*")
+
+
+def _common(a, b, backwards: bool) -> F.Column:
+    """Characters of the words that two strings begin (or end) with alike; the white space behind the last one may differ."""
+    words = lambda c: F.reverse(_units(c)) if backwards else _units(c)
+
+    def count(both):
+        x, y = both["x"], both["y"]
+        n = F.least(F.size(x), F.size(y))
+        apart = F.array_position(F.transform(F.slice(x, 1, n), lambda w, i: w == F.get(y, i)), F.lit(False))
+        same = F.when(apart > 0, apart - 1).otherwise(n).cast("int")
+        more = F.lit(0) if backwards else F.when(_bare(F.get(x, same)) == _bare(F.get(y, same)), F.length(F.get(x, same)))
+        return _let(same, lambda m: F.length(F.array_join(F.slice(x, 1, m), ""))) + F.coalesce(more, F.lit(0))
+
+    return F.when((a != "") & (b != ""), _let(F.struct(words(a).alias("x"), words(b).alias("y")), count)).otherwise(0)
+
+
+def _spans(texts: DataFrame, asked: DataFrame) -> DataFrame:
+    """doc_id, th, start, end (units), ahead, behind (characters beyond them): what goes, chunk by chunk."""
+    firsts = asked.groupBy("ch").agg(F.max("left").alias("left"), F.max("right").alias("right"), F.first("first").alias("first")).select("first.*", "ch", "left", "right")
+    f = _read(texts, firsts).select(F.col("ch").alias("k"), F.col("chunk").alias("f_chunk"), F.col("ahead").alias("f_ahead"), F.col("behind").alias("f_behind"))
+    x = _read(texts, asked).join(f, F.col("ch") == F.col("k")).where(_bare(F.col("chunk")) == _bare(F.col("f_chunk")))
+    # What stands behind goes only if the white space behind the chunk is the same too.
+    behind = F.when(F.col("chunk") == F.col("f_chunk"), _common(F.col("behind"), F.col("f_behind"), False)).otherwise(0)
+    return x.select("doc_id", "th", "start", "end", _common(F.col("ahead"), F.col("f_ahead"), True).alias("ahead"), behind.alias("behind"))
+
+
+def _merged(spans: DataFrame) -> DataFrame:
+    """doc_id, th, gone: each text's stretches in order, with the characters that go beyond their units."""
     row = Window.partitionBy("doc_id", "th").orderBy("start", "end")
-    reached = same.withColumn("reached", F.max("end").over(row.rowsBetween(Window.unboundedPreceding, -1)))
-    spans = reached.withColumn("span", F.sum(F.when(F.col("start") <= F.col("reached"), 0).otherwise(1)).over(row.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = spans.groupBy("doc_id", "th", "span").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    gone = spans.groupBy("doc_id", "th").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_gone")).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "_gone")
-    out = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th")), "left").withColumn("_units", _units(F.col("text")))
-    bounds = F.concat("_gone", F.array(F.struct(F.size("_units").alias("start"), F.lit(0).alias("end"))))
-    stays = F.transform(bounds, lambda b, j: F.array_join(F.slice("_units", F.coalesce(F.get("_gone", j - 1)["end"], F.lit(0)) + 1, b["start"] - F.coalesce(F.get("_gone", j - 1)["end"], F.lit(0))), ""))
-    cut_text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(stays, ""))
-    removed = F.coalesce(F.aggregate("_gone", F.lit(0), lambda a, g: a + g["end"] - g["start"]), F.lit(0))
-    before = F.coalesce(F.length("text"), F.lit(0))
-    out = out.withColumns({"_text": cut_text, "n_removed": removed.cast("long")})
-    out = out.withColumns({"n_units": F.when(F.coalesce(F.col("text"), F.lit("")) == "", 0).otherwise(F.size("_units")).cast("long"), "removed_chars": (before - F.coalesce(F.length("_text"), F.lit(0))).cast("long")})
-    return out.withColumn("text", F.col("_text")).drop("_text", "_key", "_id", "_th", "_gone", "_units")
+    reached = spans.withColumn("reached", F.max("end").over(row.rowsBetween(Window.unboundedPreceding, -1)))
+    x = reached.withColumn("span", F.sum(F.when(F.col("start") <= F.col("reached"), 0).otherwise(1)).over(row.rowsBetween(Window.unboundedPreceding, 0)))
+    # Of the chunks that begin a stretch, or end it, the one that goes furthest.
+    x = x.groupBy("doc_id", "th", "span").agg(F.max(F.struct((-F.col("start")).alias("at"), "ahead")).alias("a"), F.max(F.struct("end", "behind")).alias("b"))
+    part = F.struct((-F.col("a.at")).alias("start"), F.col("b.end").alias("end"), F.col("a.ahead").alias("ahead"), F.col("b.behind").alias("behind"))
+    return x.groupBy("doc_id", "th").agg(F.array_sort(F.collect_list(part)).alias("gone"))
+
+
+def dedup_lines(docs: DataFrame, min_words: int = 10) -> DataFrame:
+    """The rows of ``docs`` with ``text`` cut, ``n_units`` (words), ``n_removed`` (words) and ``removed_chars``; other columns stay."""
+    mark = "_"
+    while any(c.startswith(mark) for c in docs.columns):
+        mark += "_"
+    own = lambda name: mark + name
+    # All joins with texts have the same left side, so that its exchange can be used again.
+    keyed = docs.withColumn(own("th"), F.pmod(F.xxhash64("text"), F.lit(2**31 - 1)).cast("int"))
+    texts = keyed.select("doc_id", "text", F.col(own("th")).alias("th"))
+    asked = cut(_asked(_places(texts, min_words)))
+    gone = _merged(_spans(texts, asked)).select(F.col("doc_id").alias(own("id")), F.col("th").alias(own("key")), F.col("gone").alias(own("gone")))
+    out = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col(own("id"))) & (F.col(own("th")) == F.col(own("key"))), "left")
+    g, size = F.col(own("gone")), lambda c: F.coalesce(F.length(c), F.lit(0))
+
+    def stays(units):
+        bounds = F.concat(g, F.array(F.struct(F.size(units).alias("start"), F.lit(0).alias("end"), F.lit(0).alias("ahead"), F.lit(0).alias("behind"))))
+
+        def between(b, j):
+            before = F.get(g, j - 1)
+            piece, skip = _join(units, F.coalesce(before["end"], F.lit(0)), b["start"]), F.coalesce(before["behind"], F.lit(0))
+            return F.substring(piece, skip + 1, F.greatest(F.length(piece) - skip - b["ahead"], F.lit(0)))
+
+        return F.array_join(F.transform(bounds, between), "")
+
+    out = out.withColumn(own("left"), F.when(g.isNull(), F.col("text")).otherwise(_let(_units(F.col("text")), stays)))
+    words = lambda c: F.coalesce(F.regexp_count(c, F.lit(WORD)), F.lit(0)).cast("long")
+    out = out.withColumn("n_units", words(F.col("text")))
+    out = out.withColumns({"n_removed": F.when(g.isNull(), 0).otherwise(F.col("n_units") - words(F.col(own("left")))).cast("long"), "removed_chars": (size(F.col("text")) - size(F.col(own("left")))).cast("long")})
+    return out.withColumn("text", F.col(own("left"))).drop(*(own(c) for c in ("left", "th", "id", "key", "gone")))
