@@ -192,7 +192,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 10) -> DataFrame:
         mark += "_"
     own = lambda name: mark + name
     # All joins with texts have the same left side, so that its exchange can be used again.
-    keyed = docs.withColumn(own("th"), F.pmod(F.xxhash64("text"), F.lit(2**31 - 1)).cast("int"))
+    keyed = docs.withColumn(own("th"), F.hash("text"))
     texts = keyed.select("doc_id", "text", F.col(own("th")).alias("th"))
     asked = cut(_asked(_places(texts, min_words)))
     gone = _merged(_spans(texts, asked)).select(F.col("doc_id").alias(own("id")), F.col("th").alias(own("key")), F.col("gone").alias(own("gone")))
