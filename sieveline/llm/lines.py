@@ -3,7 +3,7 @@
 1. A text's lines are cut down to their words, each with the white space behind it, as whole
    lines and sentences are too coarse for a passage of 50 words that begins and ends anywhere.
 2. Rolling hashes over two neighbouring words choose boundaries: where one is the least of
-   ``RADIUS`` on both sides, at a text's ends and, in stretches of over ``GAP`` words without
+   ``RADIUS`` on both sides (and below ``LOW``), at a text's ends and, in stretches of over ``GAP`` words without
    a boundary, of ``FINE`` on both sides, or at every word if that leaves as long a stretch.
    ``min_words`` words from a boundary are a seed, all from one boundary to the next seed's
    end a chunk. A passage of ``GAP + RADIUS + min_words`` words (50) holds a seed, always.
@@ -33,6 +33,8 @@ from sieveline.llm.common import WORD, cut
 _BREAK = r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"
 _BLANK = " \t\n\x0b\f\r"
 RADIUS, FINE, GAP = 8, 2, 32
+#: A quarter of all hashes are below; few of the least of 17 aren't.
+LOW = -(2**62)
 #: Words of a passage before its first seed or behind its last, at most.
 REACH = GAP + RADIUS
 
@@ -84,9 +86,9 @@ def _boundaries(roll, k: int) -> F.Column:
 
         return F.concat(at, F.flatten(F.transform(at, one)))
 
-    inner = F.filter(F.transform(roll, lambda x, i: F.when(coarse(x, i), i)), lambda i: i.isNotNull())
+    inner = F.filter(F.transform(roll, lambda x, i: F.when((x < LOW) & coarse(x, i), i)), lambda i: i.isNotNull())
     every = _let(F.concat(F.array(F.lit(-1)), inner, F.array(size)), between)
-    return F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0), size - k), F.filter(every, lambda i: (i >= 0) & (i <= size - k)))))
+    return F.sort_array(F.array_distinct(F.concat(F.array(F.lit(0), size - k), F.filter(every, lambda i: (i >= 0) & (i <= size - k)))))
 
 
 def _chunks(texts: DataFrame, k: int) -> DataFrame:
