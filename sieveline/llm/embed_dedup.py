@@ -1,16 +1,21 @@
 """Embedding near-dedup with a forest of random-projection trees.
 
-Equal vectors form one class. Each tree splits the space by random directions at
-the median of a bounded sample (``fit_rows``, by a hash of the id), as deep as the
-whole table's size asks for; a vector within the spill margin of a split goes to
-both sides. Every vector is put into its leaves in every tree. Leaves are compared
-in tiles of at most ``TILE`` vectors a side, in double precision; a pair that meets
-in several leaves counts in the first one only, so no pair is ever listed: a tile
-returns link counts and an edge from each vector to its local component.
+Equal vectors form one class, named by a 64-bit hash of the vector. Each tree splits the
+space by random directions at the median of a bounded sample (``fit_rows``, by a hash of
+the vector) until a leaf holds ``leaf_rows`` of the whole table or 8 of the sample; a
+vector within the spill margin of a split goes to both sides. Beyond ``fit_rows *
+leaf_rows / 8`` vectors (500,000) leaves therefore grow with the table. Every vector is
+put into its leaves in every tree. Leaves are compared in tiles of at most ``TILE``
+vectors a side, in double precision; a pair that meets in several leaves counts in the
+first one only, so no pair is ever listed: a tile returns link counts and an edge from
+each vector to its local component.
 
 Edge cases: null, empty and zero vectors and those with a null or non-finite
-component link with nothing; vectors of different lengths never meet; repeated
-ids are separate rows, and equal rows are links of each other.
+component link with nothing; vectors of different lengths never meet; sizes of any
+magnitude are scaled exactly, by powers of two; repeated ids are separate rows, and
+equal rows are links of each other; a component is named by its smallest id that isn't
+null, and a row is kept if it has its component's name (null equals null here); an empty
+table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from sieveline.llm.common import components, cut
 
@@ -72,7 +78,9 @@ def leaves_of(nodes: list[tuple], x: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), dim)
+    """The vectors in double precision, scaled by powers of two to a largest component of 0.5 to 1."""
+    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), dim)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
 
 
 def _compare(table, least: float):
@@ -121,10 +129,13 @@ def _compare(table, least: float):
 def dedup_embeddings(embeddings: DataFrame, least: float = 0.9, trees: int = 12, leaf_rows: int = 200, spill: float = 0.1, fit_rows: int = 20_000) -> DataFrame:
     """vec_id, n_links, component_id, kept for each vector."""
     spark = embeddings.sparkSession
-    e = embeddings.select("vec_id", F.transform("embedding", lambda v: v.cast("double") + F.lit(0.0)).alias("v"))
+    kind = embeddings.schema["embedding"].dataType.elementType
+    kind = kind if isinstance(kind, FloatType) else DoubleType()
+    # Adding zero makes the two zeros one.
+    e = embeddings.select("vec_id", F.transform("embedding", lambda v: v.cast(kind) + F.lit(0.0).cast(kind)).alias("v"))
     sound = F.coalesce((F.size("v") > 0) & F.forall("v", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))) & F.exists("v", lambda v: v != 0), F.lit(False))
-    e = e.withColumn("v", F.when(sound, F.col("v")))
-    classes = cut(e.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("lo"), F.count("*").alias("copies")).withColumn("cls", F.coalesce("lo", F.xxhash64("v"))).withColumn("dim", F.size("v")))
+    e = e.withColumn("v", F.when(sound, F.col("v"))).withColumn("cls", F.when(F.col("v").isNotNull(), F.xxhash64("v")))
+    classes = cut(e.where("v is not null").groupBy("cls").agg(F.first("v").alias("v"), F.min("vec_id").alias("lo"), F.count("*").alias("copies")).withColumn("dim", F.size("v")))
     total = classes.groupBy("dim").count().collect()  # one row for each vector length
     forest: dict[int, list] = {}
     for r in total:
@@ -148,20 +159,21 @@ def dedup_embeddings(embeddings: DataFrame, least: float = 0.9, trees: int = 12,
                         of[r].append((t << 40) | k)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), part.column(3), pa.array([sorted(p) for p in of], pa.list_(pa.int64()))], ["v", "cls", "copies", "dim", "places"])
 
-    placed = cut(classes.select("v", "cls", "copies", "dim").mapInArrow(place, "v array<double>, cls long, copies long, dim int, places array<long>"))
+    placed = cut(classes.select("v", "cls", "copies", "dim").mapInArrow(place, f"v array<{kind.simpleString()}>, cls long, copies long, dim int, places array<long>"))
     spread = placed.withColumn("leaf", F.explode("places"))
     sizes = spread.groupBy("dim", "leaf").count()
-    large = sizes.where(F.col("count") > TILE).withColumn("blocks", F.ceil(F.col("count") / TILE).cast("int")).select("dim", "leaf", "blocks")
-    cols = ["dim", "leaf", "i", "j", "block", "cls", "copies", "places", "v"]
-    zero = F.lit(0)
-    one = spread.join(large, ["dim", "leaf"], "left_anti").withColumns({"i": zero, "j": zero, "block": zero}).select(cols)
-    many = spread.join(large, ["dim", "leaf"]).withColumn("block", F.pmod(F.xxhash64("cls", F.lit("block")), F.col("blocks")).cast("int"))
-    many = many.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"i": F.least("block", "o"), "j": F.greatest("block", "o")}).select(cols)
-    tiles = one.unionByName(many).groupBy("dim", "leaf", "i", "j").applyInArrow(lambda t: _compare(t, least), "a long, b long, links long")
+    # At most one row for each leaf of the trees, trees * fit_rows / 4 for each vector length: a proven bound for the broadcast.
+    large = F.broadcast(sizes.where(F.col("count") > TILE).select("dim", "leaf", F.ceil(F.col("count") / TILE).cast("int").alias("blocks")))
+    dealt = spread.join(large, ["dim", "leaf"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("cls", F.lit("block")), F.col("blocks")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("dim", "leaf", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "cls", "copies", "places", "v")
+    tiles = dealt.groupBy("dim", "leaf", "i", "j").applyInArrow(lambda t: _compare(t, least), "a long, b long, links long")
     found = cut(tiles)
     links = found.groupBy(F.col("a").alias("cls")).agg(F.sum("links").alias("links"))
     comp = components(found.where("a <> b").select("a", "b"))
-    known = classes.select("v", "cls", "copies").join(links, "cls", "left").join(comp.select(F.col("node").alias("cls"), "component"), "cls", "left")
-    known = known.select(F.col("v").alias("kv"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("component", "cls").alias("c"))
-    out = e.join(known, F.col("v") == F.col("kv"), "left")
-    return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("c", "vec_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    known = classes.select("cls", "lo", "copies").join(links, "cls", "left").join(comp.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    lowest = known.groupBy("component").agg(F.min("lo").alias("c"))
+    known = known.join(lowest, "component").select(F.col("cls").alias("k"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"), "c")
+    out = e.select("vec_id", "cls").join(known, F.col("cls") == F.col("k"), "left")
+    out = out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("k").isNotNull(), F.col("c")).otherwise(F.col("vec_id")).alias("component_id"))
+    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
