@@ -1,28 +1,37 @@
 """Mixing sources to target weights by entropy balancing.
 
-Token shares ``m_i`` of the documents are chosen closest to their sizes ``s_i`` in
-relative entropy, under one token constraint per source (its target). The optimum
-tilts every size exponentially, ``m_i = s_i * exp(lambda_source)``; the convex dual
-``sum(s_i * exp(lambda)) - lambda * target`` is solved by Newton steps over sums
-that Spark aggregates per source. The rates ``exp(lambda)`` are then rounded into
-whole copies: a histogram of sizes per source (never the documents) is walked from
-the largest size down, carrying the rounding error on, and a hash of the document
-decides which of the equally long documents get the extra copy.
-
-Edge cases: a null text has size 0 and is taken 0 times; null sources form one
-source, last in order; an empty table gives an empty result; repeated ids are
-separate rows; extra columns are ignored.
+Word shares ``m_i = s_i * r_i`` of the documents (sizes ``s_i``) are chosen closest to the
+sizes in relative entropy, under one token constraint for each source (its target) and one
+over all of them: the mix's mean log length, weighted by words, is to stay what it is in the
+documents, held by a penalty as it can't always be met. No rate may exceed ``most``. The
+optimum tilts sizes exponentially, ``r_i = min(most, exp(lambda_source + mu * z_i))`` with
+``z_i`` the document's log length less the mean, so documents of one source differ in rate.
+
+The convex dual is solved by Newton steps. Documents of one source and size share a rate, so
+Spark first counts them (never listing documents) and each step aggregates gradient and
+Hessian over those counts; the Hessian is an arrow (sources by ``mu``), of which only the
+corner, one number, comes to the driver. Steps end when no source is off its target by more
+than ``TOLERANCE``, or raise an error after ``STEPS``. Rates are rounded into whole copies
+from the largest size down, carrying the error on, and a hash of the document decides which
+of the equally long documents get the extra copy.
+
+Edge cases: a null text has size 0 and is taken 0 times; null sources form one source, last
+in order; sources without words have the target 0; an empty table gives an empty result;
+repeated ids are separate rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import WORD
+from sieveline.llm.common import WORD, cut
 
-NEWTON_STEPS = 12
+#: Most Newton steps, relative error of a source at the end, and what the length constraint weighs.
+STEPS, TOLERANCE, PENALTY = 60, 1e-6, 0.05
 SALTS = 64
 
 
@@ -51,49 +60,76 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float
     return fits.select("source", "source_size", F.least(cap, F.col("level") * F.col("weight")).alias("target"))
 
 
-def tilts(goal: DataFrame, most: float = 3.0) -> DataFrame:
-    """source, source_size, target, rate: Newton steps on each source's dual, from lambda = 0."""
-    lam = F.lit(0.0)
-    out = goal.withColumn("lam", lam)
-    for _ in range(NEWTON_STEPS):
-        # gradient: size * exp(lam) - target; hessian: size * exp(lam); steps are damped to one
-        step = 1 - F.col("target") / (F.col("source_size") * F.exp("lam"))
-        out = out.withColumn("lam", F.when(F.col("source_size") > 0, F.col("lam") - F.greatest(F.lit(-1.0), F.least(F.lit(1.0), step))).otherwise(F.lit(0.0)))
-    return out.select("source", "source_size", "target", F.least(F.exp("lam"), F.lit(float(most))).alias("rate"))
-
-
-def _round(key, pdf):
-    """Extra copies per size of one source: the error is carried from larger sizes to smaller ones."""
+def _rate(most: float) -> F.Column:
+    # A source at its cap takes all of its documents that often.
+    full = F.col("target") >= F.col("source_size") * most * (1 - 1e-12)
+    return F.when(full, float(most)).otherwise(F.least(F.lit(float(most)), F.exp(F.least(F.col("lam") + F.col("mu") * F.col("z"), F.lit(50.0)))))
+
+
+def tilts(cells: DataFrame, goal: DataFrame, most: float = 3.0) -> DataFrame:
+    """source, size, n, rate from ``cells`` (source, size, n) and ``goal`` (source, source_size, target)."""
+    words = F.col("size") * F.col("n")
+    whole = cells.agg(F.sum(words).alias("w"), F.sum(words * F.log("size")).alias("l")).first()
+    if not whole["w"]:
+        return cells.withColumn("rate", F.lit(0.0))
+    mean = whole["l"] / whole["w"]
+    # Sums are in shares of all words, so that the penalty weighs the same at every size.
+    base = cells.select("source", "size", "n", (F.log("size") - mean).alias("z"), (words / whole["w"]).alias("s"))
+    named = goal.where("source_size > 0").select(F.col("source").alias("gs"), "source_size", "target", (F.col("target") / whole["w"]).alias("t"), F.log(F.col("target") / F.col("source_size")).alias("lam"))
+    state, mu = cut(named), 0.0
+    for _ in range(STEPS):
+        x = base.join(state, F.col("source").eqNullSafe(F.col("gs"))).withColumn("mu", F.lit(mu)).withColumn("r", _rate(most))
+        free = F.when(F.col("r") < most, F.col("s") * F.col("r")).otherwise(0.0)
+        sums = x.groupBy("gs", "source_size", "target", "t", "lam").agg(F.sum(F.col("s") * F.col("r")).alias("m"), F.sum(F.col("s") * F.col("r") * F.col("z")).alias("mz"), F.sum(free).alias("a"), F.sum(free * F.col("z")).alias("b"), F.sum(free * F.col("z") ** 2).alias("c"))
+        sums = cut(sums.withColumns({"g": F.col("m") - F.col("t"), "some": F.col("a") > 1e-15}))
+        inv = F.when(F.col("some"), 1 / F.col("a")).otherwise(0.0)
+        # Gradient and Schur complement of mu; z has the mean 0 over all documents.
+        k = sums.agg(F.max(F.abs(F.col("g")) / F.col("t")).alias("off"), F.sum("mz").alias("mz"), F.sum("c").alias("c"), F.sum(F.col("b") * F.col("b") * inv).alias("bb"), F.sum(F.col("b") * F.col("g") * inv).alias("bg")).first()
+        gradient = k["mz"] + PENALTY * mu
+        # Sums of doubles differ in their last digits between runs; rates of nine digits do not.
+        if k["off"] <= TOLERANCE and abs(gradient) <= TOLERANCE:
+            return x.select("source", "size", "n", F.round("r", 9).alias("rate"))
+        step = max(-0.5, min(0.5, (gradient - k["bg"]) / (k["c"] - k["bb"] + PENALTY)))
+        move = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (F.col("g") - F.col("b") * step) * inv))
+        # A source whose documents are all at the cap, but should be below it, comes down.
+        move = F.when(F.col("some"), move).otherwise(F.when(F.col("g") > 0, 1.0).otherwise(0.0))
+        state, mu = sums.select("gs", "source_size", "target", "t", (F.col("lam") - move).alias("lam")), mu - step
+    raise ArithmeticError(f"entropy balancing is off its targets by {k['off']:.3g} after {STEPS} steps")
+
+
+def _round(pdf, most: int):
+    """Whole copies and extra ones per size of one source: the error is carried from larger sizes to smaller ones."""
     pdf = pdf.sort_values("size", ascending=False)
-    share, carry, extra = float(pdf["rate"].iloc[0] % 1), 0.0, []
-    for size, n in zip(pdf["size"].tolist(), pdf["n"].tolist(), strict=True):
-        want = share * n * size + carry
-        k = min(n, max(0, round(want / size))) if share else 0
+    carry, whole, extra = 0.0, [], []
+    for size, n, rate in zip(pdf["size"].tolist(), pdf["n"].tolist(), pdf["rate"].tolist(), strict=True):
+        base = math.floor(rate + 1e-9)
+        want = (rate - base) * n * size + carry
+        k = min(n, max(0, round(want / size))) if base < most else 0
         carry = want - k * size
+        whole.append(base)
         extra.append(k)
-    return pdf.assign(extra=pd.Series(extra, pdf.index, "int64"))[["source", "size", "extra"]]
+    return pdf.assign(base=pd.Series(whole, pdf.index, "int64"), extra=pd.Series(extra, pdf.index, "int64"))[["source", "size", "base", "extra"]]
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies for each document."""
-    spread = F.pmod(F.xxhash64("doc_id", F.lit("order")), F.lit(SALTS)).cast("int")
-    sized = sizes(docs).withColumn("salt", spread)
-    goal = tilts(targets(sized, weights, most), most)
-    cells = sized.where("size > 0").groupBy("source", "size", "salt").agg(F.count("*").alias("cell_n"))
-    hist = cells.groupBy("source", "size").agg(F.sum("cell_n").alias("n"))
-    hist = hist.join(goal.select(F.col("source").alias("s"), "rate"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    extra = hist.groupBy("source").applyInPandas(_round, "source string, size long, extra long")
+    # The one pass over the texts; some 30 bytes for each document.
+    sized = cut(sizes(docs).withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit("order")), F.lit(SALTS)).cast("int")))
+    goal = cut(targets(sized, weights, most))
+    cells = cut(sized.where("size > 0").groupBy("source", "size", "salt").agg(F.count("*").alias("cell_n")))
+    hist = tilts(cells.groupBy("source", "size").agg(F.sum("cell_n").alias("n")), goal, most)
+    extra = hist.groupBy("source").applyInPandas(lambda pdf: _round(pdf, most), "source string, size long, base long, extra long")
     # A size's extra copies are dealt over its salts in proportion to their rows, by differences of a rounded running sum.
     same = Window.partitionBy("source", "size").orderBy("salt")
     ran = F.sum("cell_n").over(same)
     whole = F.sum("cell_n").over(Window.partitionBy("source", "size"))
-    e = extra.select(F.col("source").alias("es"), F.col("size").alias("ez"), "extra")
+    e = extra.select(F.col("source").alias("es"), F.col("size").alias("ez"), "base", "extra")
     dealt = cells.withColumn("ran", ran).withColumn("whole", whole).join(e, F.col("source").eqNullSafe(F.col("es")) & (F.col("size") == F.col("ez")))
     quota = F.floor(F.col("extra") * F.col("ran") / F.col("whole")) - F.floor(F.col("extra") * (F.col("ran") - F.col("cell_n")) / F.col("whole"))
-    dealt = dealt.select(F.col("source").alias("ds"), F.col("size").alias("dz"), F.col("salt").alias("dsalt"), quota.alias("quota"))
+    dealt = dealt.select(F.col("source").alias("ds"), F.col("size").alias("dz"), F.col("salt").alias("dsalt"), "base", quota.alias("quota"))
     first = Window.partitionBy("source", "size", "salt").orderBy(F.xxhash64("doc_id", F.lit("pick")), "doc_id")
     ranked = sized.withColumn("place", F.row_number().over(first))
     joined = ranked.join(dealt, F.col("source").eqNullSafe(F.col("ds")) & (F.col("size") == F.col("dz")) & (F.col("salt") == F.col("dsalt")), "left")
-    joined = joined.join(goal.select(F.col("source").alias("gs"), "source_size", "target", "rate"), F.col("source").eqNullSafe(F.col("gs")), "left")
-    copies = F.when(F.col("size") > 0, F.floor("rate") + F.when(F.col("place") <= F.col("quota"), 1).otherwise(0)).otherwise(0).cast("long")
-    return joined.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), (F.least(copies, F.lit(most)) * F.col("size")).alias("taken"), F.least(copies, F.lit(most)).cast("long").alias("copies"))
+    joined = joined.join(goal.select(F.col("source").alias("gs"), "source_size", "target"), F.col("source").eqNullSafe(F.col("gs")), "left")
+    copies = F.when(F.col("size") > 0, F.least(F.coalesce("base", F.lit(0)) + F.when(F.col("place") <= F.col("quota"), 1).otherwise(0), F.lit(most))).otherwise(0).cast("long")
+    return joined.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), (copies * F.col("size")).alias("taken"), copies.alias("copies"))
