@@ -22,18 +22,31 @@ def skeleton(norm: Column) -> Column:
 
 
 def identity_key(norm: Column) -> Column:
-    """Three blocks: skeleton, exact normal form, closing mark."""
-    block1 = F.substring(F.md5(F.substring(skeleton(norm), 1, 40)), 1, 14)
-    block2 = F.substring(F.md5(norm), 1, 10)
-    return F.concat_ws("-", block1, block2, F.when(F.right(norm, F.lit(1)) == ".", "N").otherwise("M"))
+    """Three blocks: whole digests of the skeleton and of the normal form, closing mark."""
+    return F.concat_ws("-", F.md5(skeleton(norm)), F.md5(norm), F.when(F.right(norm, F.lit(1)) == ".", "N").otherwise("M"))
 
 
 def block1(key: Column) -> Column:
     return F.substring_index(key, "-", 1)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, though lambdas inside refer to it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _numbered(members: Column) -> Column:
+    """The members in order, each followed by its number among equal ones."""
+
+    def runs(s):
+        heads = F.filter(F.transform(s, lambda x, i: F.when((i == 0) | (x != F.get(s, i - 1)), i)), lambda i: i.isNotNull())
+        number = lambda i, at: F.concat(F.get(s, i), F.lit("\0"), (i - at).cast("string"))
+        of = lambda h: F.transform(h, lambda at, j: F.transform(F.sequence(at, F.coalesce(F.get(h, j + 1), F.size(s)) - 1), lambda i: number(i, at)))
+        return _let(heads, lambda h: F.flatten(of(h)))
+
+    return _let(F.array_sort(members), runs)
+
+
 def multiset_difference(before: Column, after: Column) -> Column:
-    """Members of ``before`` beyond their number in ``after``, sorted."""
-    count = lambda a, x: F.size(F.filter(a, lambda y: y == x))
-    left = F.transform(F.array_sort(F.array_distinct(before)), lambda x: F.array_repeat(x, F.greatest(F.lit(0), count(before, x) - count(after, x))))
-    return F.flatten(left)
+    """Members of ``before`` beyond their number in ``after``, sorted; one sort of each and a hash set."""
+    return F.transform(F.array_except(_numbered(before), _numbered(after)), lambda x: F.regexp_replace(x, r"\x00\d+$", ""))

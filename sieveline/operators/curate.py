@@ -35,12 +35,12 @@ def curate(docs: DataFrame, criteria: Criteria = Criteria()) -> DataFrame:
     events and have no curated text and no key.
     """
     text = F.coalesce("text", F.lit(""))
-    size = F.coalesce("n_chars", F.lit(0))
+    size = F.length(text).cast("long")
     words = F.size(F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " "))
     lines = F.split(text, "\n")
     gone = T.multiset_difference(lines, F.array_distinct(lines))
     norm = T.normalize(text)
-    d = docs.select(F.col("doc_id").alias("seq"), F.col("doc_id").cast("string").alias("input_id"), text.alias("raw_text"), size.alias("n_chars"), words.alias("n_words"), norm.alias("norm"), gone.alias("gone"), F.col("source").alias("annotation"), "lang")
+    d = docs.select(F.col("doc_id").alias("seq"), F.col("doc_id").cast("string").alias("input_id"), text.alias("raw_text"), size.alias("n_chars"), words.alias("n_words"), norm.alias("norm"), gone.alias("gone"), (F.size(lines) > F.size(F.array_distinct(lines))).alias("repeats"), F.col("source").alias("annotation"), "lang")
     code = (
         F.when(F.col("n_chars") < criteria.min_chars, F.struct(F.lit("ERR_EMPTY"), F.lit("PARSE"), F.format_string("%d characters", "n_chars")))
         .when(F.lit(criteria.require_letters) & ~F.col("raw_text").rlike("[A-Za-z]"), F.struct(F.lit("ERR_NO_CARBON"), F.lit("ELIGIBILITY"), F.lit("no letter")))
@@ -49,7 +49,7 @@ def curate(docs: DataFrame, criteria: Criteria = Criteria()) -> DataFrame:
     )
     parsed = F.col("n_chars") >= criteria.min_chars
     event = lambda stage, rule: F.struct(F.lit(stage).alias("stage"), F.lit(rule).alias("rule"))
-    events = F.array(F.when(parsed & (F.col("norm") != F.col("raw_text")), event("STANDARDIZE", "text_normalized")), F.when(parsed & (F.size("gone") > 0), event("GET_PARENT", "lines_removed")))
+    events = F.array(F.when(parsed & (F.col("norm") != F.col("raw_text")), event("STANDARDIZE", "text_normalized")), F.when(parsed & F.col("repeats"), event("GET_PARENT", "lines_removed")))
     passed = F.col("rejection").isNull()
     d = d.withColumn("rejection", code)
     key = F.when(passed, T.identity_key(F.col("norm")))
@@ -57,5 +57,5 @@ def curate(docs: DataFrame, criteria: Criteria = Criteria()) -> DataFrame:
     return d.select(
         "seq", "input_id", "raw_text", F.when(passed, F.col("norm")).alias("curated_text"), "identity", T.block1(F.col("identity")).alias("block1"),
         F.when(passed, "PASSED").otherwise("REJECTED").alias("status"), F.col("rejection.col1").alias("rejection_code"), F.col("rejection.col2").alias("rejection_stage"), F.col("rejection.col3").alias("rejection_detail"),
-        F.filter(events, lambda e: e.isNotNull()).alias("transformations"), F.when(passed & (F.size("gone") > 0), F.array_join("gone", "\n")).alias("removed_fragments"), "n_chars", "n_words", "annotation", "lang",
+        F.filter(events, lambda e: e.isNotNull()).alias("transformations"), F.when(passed & F.col("repeats"), F.array_join("gone", "\n")).alias("removed_fragments"), "n_chars", "n_words", "annotation", "lang",
     )

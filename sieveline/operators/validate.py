@@ -54,7 +54,7 @@ def distribution(df: DataFrame, value: str, *by: str) -> DataFrame:
 
 def ablation(docs: DataFrame, variants: DataFrame) -> DataFrame:
     """One pass for all policy variants (``variant, max_chars, min_chars``): passed, rejected, rate per variant."""
-    size = F.coalesce("n_chars", F.lit(0))
+    size = F.length(F.coalesce("text", F.lit(""))).cast("long")
     rows = docs.select(size.alias("n_chars")).crossJoin(F.broadcast(variants))
     passed = F.col("n_chars").between(F.col("min_chars"), F.col("max_chars"))
     return rows.groupBy("variant").agg(F.count("*").alias("total"), F.count_if(passed).alias("passed"), F.sum(F.when(passed, F.col("n_chars")).otherwise(0)).alias("chars_kept"))

@@ -34,14 +34,14 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The documents as records, in SQL.
 RECORDS = r"""
 WITH base AS (
-  SELECT doc_id AS seq, CAST(doc_id AS VARCHAR) AS input_id, coalesce(text, '') AS raw_text, coalesce(n_chars, 0) AS n_chars, source AS annotation, lang,
+  SELECT doc_id AS seq, CAST(doc_id AS VARCHAR) AS input_id, coalesce(text, '') AS raw_text, length(coalesce(text, '')) AS n_chars, source AS annotation, lang,
          lower(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'))) AS norm,
          len(string_split(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')), ' ')) AS n_words,
          len(string_split(coalesce(text, ''), chr(10))) > len(list_distinct(string_split(coalesce(text, ''), chr(10)))) AS repeats
   FROM documents
 ), judged AS (
   SELECT *, CASE WHEN n_chars < 40 THEN 'ERR_EMPTY' WHEN n_chars > 5000 THEN 'ERR_MW_LIMIT' WHEN n_words > 1000 THEN 'ERR_HA_LIMIT' END AS rejection_code,
-         concat_ws('-', substr(md5(left(regexp_replace(norm, '[^a-z]', '', 'g'), 40)), 1, 14), substr(md5(norm), 1, 10), CASE WHEN right(norm, 1) = '.' THEN 'N' ELSE 'M' END) AS full_key
+         concat_ws('-', md5(regexp_replace(norm, '[^a-z]', '', 'g')), md5(norm), CASE WHEN right(norm, 1) = '.' THEN 'N' ELSE 'M' END) AS full_key
   FROM base
 ), records AS (
   SELECT seq, input_id, raw_text, n_chars, n_words, annotation, lang, rejection_code,
@@ -317,7 +317,25 @@ def q_salt_guard(spark, d):
     return _with(spark, d, SMILES, "smiles").withColumn("parent", parent).select("p_partkey", "parent", S.removed_fragments(F.col("smiles"), F.col("parent")).alias("removed"))
 
 
-@query()
+def _probes_sql() -> str:
+    charge = lambda c: f"CAST(coalesce(list_sum({_C.replace('smiles', c)}), 0) AS INTEGER)"
+    bound = lambda c: f"len(regexp_extract_all({c}, '[NO]\\[(?:Li|Na|K)\\]|\\[(?:Li|Na|K)\\][NO]'))"
+    signed = lambda c: f"CASE WHEN {c} < 0 THEN '' ELSE '+' END || {c}"
+    listed = "('Cl', 'O', '[Na+]', '[Cl-]')"
+    rules = (
+        ("alkali_metal_ionized", "nb > na", "nb || ' -> ' || na"),
+        ("alkali_metal_residual", "na > 0", "CAST(na AS VARCHAR)"),
+        ("tartrate_flattened", "regexp_matches(b, 'OC\\(=O\\)\\[C@+H?\\]\\(O\\)\\[C@+H?\\]\\(O\\)C\\(=O\\)O') AND sb > sa", "sb || ' -> ' || sa"),
+        ("net_charge_changed", "cb <> ca", f"{signed('cb')} || ' -> ' || {signed('ca')}"),
+        ("fragments_removed", "fa < fb", f"array_to_string(list_sort(list_filter(string_split(b, '.'), lambda x: x IN {listed})), '.')"),
+        ("fragments_split", "fa > fb", "fb || ' -> ' || fa"),
+    )
+    events = " UNION ALL ".join(f"SELECT k, '{name}' AS rule, b, a, {detail} AS detail FROM m WHERE {when}" for name, when, detail in rules)
+    measured = f"SELECT k, b, a, {bound('b')} AS nb, {bound('a')} AS na, {charge('b')} AS cb, {charge('a')} AS ca, len(string_split(b, '.')) AS fb, len(string_split(a, '.')) AS fa, len(regexp_extract_all(b, '@+')) AS sb, len(regexp_extract_all(a, '@+')) AS sa FROM p"
+    return f"{_S}, p AS (SELECT k, smiles AS b, array_to_string({_KEPT}, '.') AS a FROM s), m AS ({measured}), ev AS ({events}) SELECT p_partkey, 'GET_PARENT' AS stage, rule, b AS before_smiles, a AS after_smiles, detail FROM part JOIN ev ON p_partkey % {len(SMILES)} = k"
+
+
+@query(_probes_sql())
 def q_probe_events(spark, d):
     listed = F.array(*map(F.lit, ("Cl", "O", "[Na+]", "[Cl-]")))
     x = _with(spark, d, SMILES, "smiles").withColumn("parent", F.array_join(S.keep_unless_all(S.fragments(F.col("smiles")), listed), "."))
@@ -357,7 +375,7 @@ def q_distribution(spark, d):
 
 
 VARIANTS = (("baseline", 40, 5000), ("short", 40, 1000), ("long_only", 1000, 1000000), ("all", 0, 1000000000))
-_ABL = "WITH v(variant, lo, hi) AS (VALUES " + ", ".join(f"('{a}', {b}, {c})" for a, b, c in VARIANTS) + "), r AS (SELECT variant, count(*) AS total, count(*) FILTER (coalesce(n_chars, 0) BETWEEN lo AND hi) AS passed, CAST(coalesce(sum(coalesce(n_chars, 0)) FILTER (coalesce(n_chars, 0) BETWEEN lo AND hi), 0) AS BIGINT) AS chars_kept FROM documents CROSS JOIN v GROUP BY 1)"
+_ABL = "WITH v(variant, lo, hi) AS (VALUES " + ", ".join(f"('{a}', {b}, {c})" for a, b, c in VARIANTS) + "), r AS (SELECT variant, count(*) AS total, count(*) FILTER (n BETWEEN lo AND hi) AS passed, CAST(coalesce(sum(n) FILTER (n BETWEEN lo AND hi), 0) AS BIGINT) AS chars_kept FROM (SELECT length(coalesce(text, '')) AS n FROM documents) CROSS JOIN v GROUP BY 1)"
 
 
 def _ablation(spark, d):
@@ -375,9 +393,9 @@ def q_ablation_vs_baseline(spark, d):
     return validate.against_baseline(_ablation(spark, d), "baseline")
 
 
-@query("SELECT doc_id, " + ", ".join(f"CAST(length(t) - length(replace(t, {q}, '')) AS INTEGER) AS {n}" for q, n in (("','", "commas"), ("chr(9)", "tabs"), ("';'", "semicolons"), ("'|'", "bars"))) + " FROM (SELECT doc_id, split_part(text, chr(10), 1) AS t FROM documents)")
+@query("SELECT doc_id, " + ", ".join(f"CAST(length(t) - length(replace(t, {q}, '')) AS INTEGER) AS {n}" for q, n in (("','", "commas"), ("chr(9)", "tabs"), ("';'", "semicolons"), ("'|'", "bars"))) + " FROM (SELECT doc_id, text AS t FROM documents)")
 def q_delimiter_counts(spark, d):
-    t = F.substring_index("text", "\n", 1)
+    t = F.col("text")
     n = lambda c: F.length(t) - F.length(F.replace(t, F.lit(c), F.lit("")))
     return table(spark, d, "documents").select("doc_id", n(",").alias("commas"), n("\t").alias("tabs"), n(";").alias("semicolons"), n("|").alias("bars"))
 
@@ -393,9 +411,9 @@ def q_generated_ids(spark, d):
     return ingest.number(table(spark, d, "customer").select("c_custkey"), "c_custkey").select("c_custkey", F.format_string("CMPD_%07d", "seq").alias("input_id"))
 
 
-@query("SELECT count(*) AS total, count(*) FILTER (n_chars < 40) AS n_invalid FROM documents")
+@query("SELECT count(*) AS total, count(*) FILTER (length(coalesce(text, '')) < 40) AS n_invalid FROM documents")
 def q_preview(spark, d):
-    return table(spark, d, "documents").agg(F.count("*").alias("total"), F.count_if(F.col("n_chars") < 40).alias("n_invalid"))
+    return table(spark, d, "documents").agg(F.count("*").alias("total"), F.count_if(F.length(F.coalesce("text", F.lit(""))) < 40).alias("n_invalid"))
 
 
 @query("SELECT count(*) FILTER (sha256(source) <> sha256('src0')) AS n_mismatch FROM documents")

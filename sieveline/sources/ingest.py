@@ -22,20 +22,15 @@ def plausible(col: Column) -> Column:
     return col.rlike(f"^(?:{_PLAUSIBLE})$")
 
 
-def parses(text: str) -> bool:
-    """A structure string by tokens, balance of brackets and parity of ring labels."""
-    import re
-
-    body = re.sub(r"\[[^\[\]]+\]", "C", text)
-    if not text or not re.fullmatch(r"(?:Br|Cl|[BCNOPSFIbcnops*]|[-=#$:/\\.()]|%\d\d|\d)+", body) or not re.match(r"[A-Za-z*]", body):
-        return False
-    depth = 0
-    for ch in body:
-        depth += (ch == "(") - (ch == ")")
-        if depth < 0:
-            return False
-    labels = re.findall(r"%\d\d|\d", body)
-    return depth == 0 and all(labels.count(x) % 2 == 0 for x in set(labels))
+def parses(col: Column) -> Column:
+    """A structure string by tokens, balance of brackets and parity of ring labels; no graph is built."""
+    body = F.regexp_replace(col, r"\[[^\[\]]+\]", "C")
+    turns = F.transform(F.regexp_extract_all(body, F.lit(r"[()]"), F.lit(0)), lambda c: F.when(c == "(", 1).otherwise(-1))
+    # The open brackets so far; null once one closes too many.
+    open_ = F.aggregate(turns, F.lit(0), lambda n, t: F.when(n + t >= 0, n + t))
+    labels = F.regexp_extract_all(body, F.lit(r"%\d\d|\d"), F.lit(0))
+    paired = F.forall(F.array_distinct(labels), lambda x: F.size(F.filter(labels, lambda y: y == x)) % 2 == 0)
+    return F.coalesce(body.rlike(r"^(?=[A-Za-z*])(?:Br|Cl|[BCNOPSFIbcnops*]|[-=#$:/\\.()]|%\d\d|\d)+$") & (open_ == 0) & paired, F.lit(False))
 
 
 @dataclass(frozen=True)
@@ -46,28 +41,38 @@ class Layout:
     id: int | None
 
 
-def infer(sample: list[str]) -> Layout:
-    """The layout of at most ``SAMPLE`` clean lines."""
-    best, width = None, 1
-    for d in DELIMITERS:
-        counts = {line.count(d) for line in sample}
-        if len(counts) == 1 and (n := counts.pop()) and n + 1 > width:
-            best, width = d, n + 1
-    cells = [[c.strip() for c in (line.split(best) if best else line.split())] for line in sample]
-    head = [c.lower() for c in cells[0]] if cells else []
-    named = any(c in STRUCTURE_NAMES | ID_NAMES for c in head)
-    header = len(sample) > 1 and (named or not any(parses(c) for c in cells[0]))
-    rows = cells[1:] if header else cells
-    by_name = next((i for i, c in enumerate(head) if c in STRUCTURE_NAMES), None) if header else None
-    of_id = next((i for i, c in enumerate(head) if c in ID_NAMES), None) if header else None
-    if by_name is not None:
-        return Layout(best, True, by_name, of_id if of_id != by_name else None)
-    n = max(map(len, rows), default=1)
-    rate = [sum(len(r) > i and parses(r[i]) for r in rows) / max(1, len(rows)) for i in range(n)]
-    best_at = max(range(n), key=lambda i: (rate[i], -i))
-    at = best_at if rate[best_at] >= LEAST else 0
-    other = of_id if of_id is not None and of_id != at else next((i for i in range(n) if i != at), None)
-    return Layout(best, header, at, other)
+def _cells(delimiter: str | None) -> Column:
+    return F.transform(F.split("value", "\\Q" + delimiter + "\\E" if delimiter else r"\s+"), strip)
+
+
+def infer(sample: DataFrame) -> Layout:
+    """The layout of a sample of lines (``at``, ``value``): two aggregates of it.
+
+    A delimiter stands equally often in all lines; the most frequent one is it. A first
+    line with a known name, or without a structure, is a header. Without a named column,
+    the one with the highest share of structures among the lines that have it is chosen.
+    """
+    mark = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.lit(i).alias("rank"), (F.length("value") - F.length(F.replace("value", F.lit(d), F.lit("")))).alias("n")) for i, d in enumerate(DELIMITERS)]))
+    steady = sample.select(mark.alias("m")).groupBy("m.d", "m.rank").agg(F.min("m.n").alias("n"), F.max("m.n").alias("most")).where("n = most and n > 0")
+    found = steady.orderBy(F.desc("n"), "rank").select("d").take(1)
+    delimiter = found[0]["d"] if found else None
+    lines = sample.select((F.col("at") == F.min("at").over(Window.partitionBy())).alias("top"), F.posexplode(_cells(delimiter)).alias("pos", "cell")).withColumn("ok", parses(F.col("cell")))
+    shape = lines.groupBy("pos").agg(
+        F.max(F.when(F.col("top"), F.lower("cell"))).alias("name"), F.bool_or(F.col("top") & F.col("ok")).alias("top_ok"), F.bool_or("top").alias("in_top"),
+        F.count_if("ok").alias("ok"), F.count("*").alias("n"),
+    )
+    columns = shape.orderBy("pos").collect()  # one row for each column of the sample
+    header = any(c["n"] > 1 for c in columns) and (any(c["name"] in STRUCTURE_NAMES | ID_NAMES for c in columns) or not any(c["top_ok"] for c in columns))
+    named = {kind: [c["pos"] for c in columns if header and c["name"] in names] for kind, names in (("structure", STRUCTURE_NAMES), ("id", ID_NAMES))}
+    if named["structure"]:
+        at = named["structure"][0]
+        return Layout(delimiter, True, at, named["id"][0] if named["id"] else None)
+    # Lines that have the column, without the header's.
+    share = {c["pos"]: (c["ok"] - (header and c["top_ok"])) / held for c in columns if (held := c["n"] - (header and c["in_top"])) > 0}
+    ranked = sorted(share, key=share.get, reverse=True)
+    at = ranked[0] if ranked and share[ranked[0]] >= LEAST else 0
+    others = [*named["id"], *share]
+    return Layout(delimiter, header, at, next((pos for pos in others if pos != at), None))
 
 
 def number(df: DataFrame, *order: str) -> DataFrame:
@@ -82,16 +87,16 @@ def number(df: DataFrame, *order: str) -> DataFrame:
 def from_lines(lines: DataFrame) -> DataFrame:
     """seq, input_id, raw_smiles from ``value`` in the order of ``at``; blank and # lines are left out."""
     clean = lines.select("at", strip(F.col("value")).alias("value")).where("value <> '' and not startswith(value, '#')")
-    sample = [r["value"] for r in clean.orderBy("at").limit(SAMPLE).collect()]
+    sample = clean.orderBy("at").limit(SAMPLE)
     spark = lines.sparkSession
-    if not sample:
+    if sample.isEmpty():
         return spark.createDataFrame([], "seq long, input_id string, raw_smiles string")
     layout = infer(sample)
     rows = number(clean, "at")
     if layout.header:
         rows = rows.where("seq > 1").withColumn("seq", F.col("seq") - 1)
-    cells = F.split("value", "\\Q" + layout.delimiter + "\\E" if layout.delimiter else r"\s+")
-    cell = lambda i: F.coalesce(strip(F.get(cells, F.lit(i))), F.lit(""))
+    cells = _cells(layout.delimiter)
+    cell = lambda i: F.coalesce(F.get(cells, F.lit(i)), F.lit(""))
     made = F.format_string("CMPD_%07d", "seq")
     given = F.coalesce(F.nullif(cell(layout.id), F.lit("")), made) if layout.id is not None else made
     return rows.select("seq", given.alias("input_id"), cell(layout.structure).alias("raw_smiles"))
