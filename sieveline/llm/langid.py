@@ -5,12 +5,13 @@ for every byte). A word's probability is the sum over all its segmentations into
 pieces, by the forward algorithm; a text's is the product over its words. Piece
 probabilities are fitted by expectation maximisation over all segmentations, on a
 bounded sample of labelled rows (``max_rows``, stratified by language, chosen by a
-hash of the id); all texts are scored whole. Words repeat, so each block of texts
-scores its distinct words once. Words of over 32 bytes are scored in stretches of
-32 bytes.
+hash of the id), whose words of over ``FIT_STRETCH`` bytes are cut for fitting only.
+All texts are scored whole, all words unbroken and with all pieces of the vocabulary.
+Words repeat, so each block of texts scores its distinct words once.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0; so is
-everything where no labelled row exists; repeated rows give repeated results.
+everything where no labelled row exists; repeated rows give repeated results. The model takes
+0.25 MB for each label; more than ``max_languages`` labels are an error, none is left out.
 """
 
 from __future__ import annotations
@@ -25,9 +26,9 @@ from pyspark.sql import functions as F
 from sieveline.llm import textscan
 from sieveline.llm.common import is_held_out
 
-LONGEST_PIECE, STRETCH, SPACE = 10, 32, 0x20
-#: Languages that may be told apart at most; the most frequent labels come first.
-MAX_LANGUAGES = 200
+FIT_STRETCH, SPACE = 32, 0x20
+#: Numbers held at once by the forward sums, and steps between two rescalings.
+CELLS, RESCALE = 4_000_000, 8
 
 
 def vocabulary(path: str) -> list[bytes]:
@@ -37,7 +38,8 @@ def vocabulary(path: str) -> list[bytes]:
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     own = {sp.id_to_piece(i).replace("▁", " ").encode() for i in range(sp.get_piece_size()) if not sp.is_control(i) and not sp.is_byte(i) and not sp.is_unknown(i)}
     own = {textscan.LOWER[np.frombuffer(p, np.uint8)].tobytes() for p in own if p}
-    return sorted({bytes([b]) for b in range(256)} | {p for p in own if len(p) <= LONGEST_PIECE and b" " not in p[1:]})
+    # No word holds a space behind its first byte, so pieces that do can't occur.
+    return sorted({bytes([b]) for b in range(256)} | {p for p in own if b" " not in p[1:]})
 
 
 class Pieces:
@@ -49,7 +51,7 @@ class Pieces:
         at = np.cumsum([0, *map(len, pieces)])
         data = np.frombuffer(b"".join(pieces), np.uint8)
         self.hash = np.append(textscan.Rolling(data)(at[:-1], at[1:]), np.uint64(0))
-        self.none = len(pieces)
+        self.none, self.longest = len(pieces), max(map(len, pieces))
         self.tables, left = [], np.arange(len(pieces))
         for shift in (44, 24, 4):
             table = np.full(1 << self.BITS, self.none, np.int32)
@@ -74,51 +76,78 @@ class Pieces:
         return out
 
 
-def stretches(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct stretches of words, each word behind a space: bytes, start, length; each occurrence's document and stretch."""
+def stretches(data: np.ndarray, at: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words, each behind a space, cut into stretches of ``most`` bytes if given: bytes, start, length; each occurrence's document and word; each stretch's word."""
     w = textscan.words(data, at)
     size = w.end - w.start
     h = textscan.Rolling(data)(w.start, w.end)
     _, some, which = np.unique(h, return_index=True, return_inverse=True)
     size, start = size[some], w.start[some]
-    # The distinct words, each behind a space, cut into stretches.
     total = size + 1
     to = np.cumsum(total) - total
     flat = np.full(int(total.sum()), SPACE, np.uint8)
     i = np.arange(len(flat)) - np.repeat(to, total)
     real = i > 0
     flat[real] = textscan.LOWER[data[(np.repeat(start, total) + i - 1)[real]]]
-    parts = -(-total // STRETCH)
+    if most is None:
+        return flat, to, total, w.doc, which, np.arange(len(total))
+    parts = -(-total // most)
     of = np.repeat(np.arange(len(total)), parts)
     k = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
-    return flat, to[of] + k * STRETCH, np.minimum(STRETCH, total[of] - k * STRETCH), w.doc, which, of
+    return flat, to[of] + k * most, np.minimum(most, total[of] - k * most), w.doc, which, of
 
 
 def _ids(pieces: Pieces, flat: np.ndarray, start: np.ndarray, size: np.ndarray):
-    """For stretches sorted by falling length: per end position and piece length the piece numbers of those that reach so far."""
+    """For stretches sorted by falling length: per end position how many reach so far, and their piece numbers by piece length from 1."""
     roll = textscan.Rolling(flat)
-    for t in range(1, int(size[0]) + 1 if len(size) else 1):
+    top, t = int(size[0]) if len(size) else 0, 1
+    while t <= top:
         k = int(np.searchsorted(-size, -t, "right"))
-        end = start[:k] + t
-        yield t, k, [(n, pieces.find(roll(end - n, end))) for n in range(1, min(t, LONGEST_PIECE) + 1)]
+        # Several positions at once where few stretches are left.
+        steps = np.arange(t, min(top, t + max(0, 16_384 // (k * pieces.longest) - 1)) + 1)
+        n = np.arange(1, min(int(steps[-1]), pieces.longest) + 1)
+        end = np.minimum(start[:k] + steps[:, None, None], len(flat))
+        begin = np.maximum(end - n[:, None], 0)
+        ids = pieces.find(roll(begin.ravel(), np.broadcast_to(end, begin.shape).ravel())).reshape(begin.shape)
+        for i, at in enumerate(steps):
+            yield int(at), int(np.searchsorted(-size[:k], -at, "right")), ids[i, : min(int(at), pieces.longest)]
+        t = int(steps[-1]) + 1
+
+
+def _forward(pieces: Pieces, prob: np.ndarray, flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Log of the sum over all segmentations, for stretches sorted by falling length: only the last positions' sums are held, rescaled as they fall."""
+    slots = pieces.longest + 1
+    ring, scale = np.zeros((slots, len(size), prob.shape[1])), np.zeros((len(size), prob.shape[1]))
+    ring[0] = 1
+    out = np.zeros_like(scale)
+    for t, k, found in _ids(pieces, flat, start, size):
+        if k < 64:
+            before = ring[(t - 1 - np.arange(len(found))) % slots, :k]
+            now = np.einsum("nkj,nkj->kj", before, prob[found[:, :k]])
+        else:
+            now = ring[(t - 1) % slots, :k] * prob[found[0, :k]]
+            for n, ids in enumerate(found[1:, :k], 2):
+                hit = np.flatnonzero(ids != pieces.none)
+                now[hit] += ring[(t - n) % slots, hit] * prob[ids[hit]]
+        done = slice(int(np.searchsorted(-size, -t, "left")), k)
+        out[done] = scale[done] + np.log(np.maximum(now[done], 1e-300))
+        ring[t % slots, :k] = now
+        if t % RESCALE == 0:
+            by = np.where(now > 0, now, 1)
+            ring[:, :k] /= by
+            scale[:k] += np.log(by)
+    return out
 
 
 def log_likelihood(pieces: Pieces, prob: np.ndarray, flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Log of the sum over all segmentations, for each stretch and language; ``prob``: pieces (and none, 0) x languages."""
     order = np.argsort(-size, kind="stable")
-    start, size = start[order], size[order]
-    alpha = np.zeros((int(size[0]) + 1 if len(size) else 1, len(size), prob.shape[1]))
-    alpha[0] = 1
     out = np.zeros((len(size), prob.shape[1]))
-    for t, k, found in _ids(pieces, flat, start, size):
-        for n, ids in found:
-            hit = np.flatnonzero(ids != pieces.none) if n > 1 else slice(0, k)
-            alpha[t, hit] += alpha[t - n, hit] * prob[ids[hit]]
-        done = slice(int(np.searchsorted(-size, -t, "left")), k)
-        out[done] = np.log(np.maximum(alpha[t, done], 1e-300))
-    back = np.empty_like(out)
-    back[order] = out
-    return back
+    most = max(1, CELLS // ((pieces.longest + 1) * prob.shape[1]))
+    for i in range(0, len(order), most):
+        o = order[i : i + most]
+        out[o] = _forward(pieces, prob, flat, start[o], size[o])
+    return out
 
 
 def _expected(pieces: Pieces, prob: np.ndarray, flat, start, size, weight: np.ndarray) -> np.ndarray:
@@ -130,13 +159,13 @@ def _expected(pieces: Pieces, prob: np.ndarray, flat, start, size, weight: np.nd
     alpha[0] = 1
     found = list(_ids(pieces, flat, start, size))
     for t, k, lookups in found:
-        for n, ids in lookups:
+        for n, ids in enumerate(lookups[:, :k], 1):
             alpha[t, :k] += alpha[t - n, :k] * prob[ids]
     beta[size, np.arange(len(size))] = 1
     total = np.zeros_like(prob)
     z = np.maximum(alpha[size, np.arange(len(size))], 1e-300)
     for t, k, lookups in reversed(found):
-        for n, ids in lookups:
+        for n, ids in enumerate(lookups[:, :k], 1):
             p = prob[ids] * beta[t, :k]
             e = alpha[t - n, :k] * p / z[:k] * weight[:k]
             for j in range(langs):
@@ -152,17 +181,18 @@ def fit(texts: list[str], langs: list[str], pieces: list[bytes], rounds: int = 3
     table = Pieces(pieces)
     raw = [t.encode() for t in texts]
     data, at = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
-    flat, start, size, doc, which, of = stretches(data, at)
+    flat, start, size, doc, which, of = stretches(data, at, FIT_STRETCH)
     lang = np.searchsorted(names, langs)[doc]
     uses = np.stack([np.bincount(which[lang == j], minlength=int(which.max()) + 1 if len(which) else 0) for j in range(len(names))], 1)[of].astype(float)
     length = np.array([len(p) for p in pieces] + [1])
     prob = np.repeat((0.05 ** np.minimum(length, 4) * 0.6 ** length)[:, None], len(names), 1)
     prob[table.none] = 0
     prob /= prob.sum(0)
+    most = max(1, CELLS // (FIT_STRETCH * len(names)))
     for _ in range(rounds):
         count = np.zeros_like(prob)
-        for i in range(0, len(start), 10_000):
-            s = slice(i, i + 10_000)
+        for i in range(0, len(start), most):
+            s = slice(i, i + most)
             count += _expected(table, prob, flat, start[s], size[s], uses[s])
         count += 0.02
         count[table.none] = 0
@@ -184,10 +214,12 @@ def quotas(counts: dict[str, int], max_rows: int) -> dict[str, int]:
     return out
 
 
-def training_rows(docs: DataFrame, max_rows: int) -> list:
+def training_rows(docs: DataFrame, max_rows: int, max_languages: int = 4000) -> list:
     """text, lang of at most ``max_rows`` labelled rows that aren't held out, about as many of each language."""
     known = docs.where(~is_held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = known.groupBy("lang").count().limit(max_languages + 1).collect()
+    if len(counts) > max_languages:
+        raise ValueError(f"more than {max_languages} labels to tell apart")
     if not counts:
         return []
     take = F.create_map(*[F.lit(x) for lang, n in quotas({r["lang"]: r["count"] for r in counts}, max_rows).items() for x in (lang, n)])
@@ -205,10 +237,10 @@ def training_rows(docs: DataFrame, max_rows: int) -> list:
     return near.where(F.col("place") <= F.element_at(take, F.col("lang"))).orderBy("lang", "place").select("text", "lang").collect()
 
 
-def predict(docs: DataFrame, vocabulary_path: str, max_rows: int = 800) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for each document; ``max_rows`` bounds the rows learned from."""
+def predict(docs: DataFrame, vocabulary_path: str, max_rows: int = 800, max_languages: int = 4000) -> DataFrame:
+    """doc_id, held_out, lang_pred, score for each document; ``max_rows`` bounds the rows learned from (one at least of each language)."""
     pieces = vocabulary(vocabulary_path)
-    rows = training_rows(docs, max_rows)
+    rows = training_rows(docs, max_rows, max_languages)
     names, prob = fit([r["text"] for r in rows], [r["lang"] for r in rows], pieces) if rows else ([], None)
     # As large as the vocabulary times the languages, whatever the input.
     model = docs.sparkSession.sparkContext.broadcast((tuple(pieces), names, prob))
@@ -220,9 +252,8 @@ def predict(docs: DataFrame, vocabulary_path: str, max_rows: int = 800) -> DataF
             n = len(at) - 1
             best, score = np.array(["und"] * n, object), np.zeros(n)
             if names:
-                flat, start, size, doc, which, of = stretches(data, at)
-                word = np.zeros((int(of.max()) + 1 if len(of) else 0, len(names)))
-                np.add.at(word, of, log_likelihood(table, prob, flat, start, size))
+                flat, start, size, doc, which, _ = stretches(data, at)
+                word = log_likelihood(table, prob, flat, start, size)
                 total = np.stack([textscan.per_doc(doc, n, word[which, j]) for j in range(len(names))], 1)
                 total -= total.max(1, keepdims=True)
                 p = np.exp(total)

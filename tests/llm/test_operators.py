@@ -229,6 +229,31 @@ def test_segmentations_are_summed():
     assert got == pytest.approx(0.1 * 0.2 * 0.3 + 0.05 * 0.3 + 0.1 * 0.07 + 0.01)
 
 
+def test_whole_words_are_summed_with_all_pieces():
+    """Against exact sums in logs: long unbroken words, many and few at once, pieces of up to 25 bytes."""
+    r = random.Random(3)
+    long = [bytes(r.choices(b"abcde", k=n)) for n in (11, 17, 25)]
+    pieces = sorted({bytes([b]) for b in range(256)} | {bytes(r.choices(b"abcde", k=r.randrange(2, 5))) for _ in range(60)} | set(long))
+    prob = np.array([[r.random() * 1e-6, r.random() * 1e-9] for _ in pieces] + [[0, 0]])
+    words = [bytes(r.choices(b"abcde", k=n)) + r.choice(long) * m for n, m in [(1, 0), (700, 3), (40, 2)] + [(r.randrange(1, 30), r.randrange(2)) for _ in range(90)]]
+    size = np.array([len(w) for w in words])
+    got = langid.log_likelihood(langid.Pieces(pieces), prob, np.frombuffer(b"".join(words), np.uint8), np.cumsum(size) - size, size)
+    of = {p: i for i, p in enumerate(pieces)}
+    for w, row in zip(words, got, strict=True):
+        for j in range(2):
+            at = [0.0]
+            for t in range(1, len(w) + 1):
+                at.append(np.logaddexp.reduce([at[t - n] + np.log(prob[of[w[t - n : t]], j]) for n in range(1, min(t, 25) + 1) if w[t - n : t] in of]))
+            assert row[j] == pytest.approx(at[-1], rel=1e-9)
+
+
+def test_all_labels_are_learned(spark):
+    rows = [(i, f"text {i}", f"l{i % 300}", "s") for i in range(3000)]
+    assert len({r["lang"] for r in langid.training_rows(frame(spark, rows), 300)}) == 300
+    with pytest.raises(ValueError):
+        langid.training_rows(frame(spark, rows), 300, max_languages=299)
+
+
 def test_held_out_quality(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet").toPandas()
