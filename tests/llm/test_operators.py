@@ -290,6 +290,25 @@ def test_pipeline(spark):
         assert stage(spark, docs, sf).columns == docs.columns, name
 
 
+def test_pipeline_stages_keep_columns_and_odd_rows(spark):
+    """Nulls, blanks, repeated rows and columns with the operators' own names; then no rows at all, and no ``n_chars``."""
+    sf = "/root/testdata/sf0.001"
+    rows = [(10_000_001, None, None, None), (10_000_002, "", None, "a"), (10_000_003, prose(1), "en", "a"), (10_000_003, prose(1), "en", "a"), (10_000_004, prose(1), "de", None), (None, prose(7), None, "b"), (10_000_005, prose(9, 20_000), "en", "b")]
+    docs = frame(spark, rows).drop("n_chars").withColumns({"n_removed": F.lit("mine"), "gone_id": F.lit(1)})
+    for given in (docs, docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, given, sf)
+            assert out.columns == given.columns, name
+            if name == "near_duplicates" and given is docs:
+                assert sorted((r["doc_id"] or 0) for r in out.collect()) == [0, 10_000_001, 10_000_002, 10_000_003, 10_000_003, 10_000_005]
+            elif name == "line_dedup" and given is docs:
+                got = out.collect()
+                assert {r["n_removed"] for r in got} == {"mine"} and {None, 10_000_001, 10_000_002, 10_000_005} <= {r["doc_id"] for r in got}
+            else:
+                assert out.count() == given.count(), name
+        assert corpus_pipeline.mix_sources(spark, given, sf).count() == given.count()
+
+
 def test_word_hashes_agree():
     data = np.frombuffer("Été the THE".encode(), np.uint8)
     w = textscan.words(data, np.array([0, len(data)]))
