@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import chat, decontam, embed_dedup, langid, licenses, lines, mixing, ngram_join, tokens, toxicity
+from sieveline.llm import bpe, chat, decontam, embed_dedup, langid, licenses, lines, mixing, ngram_join, tokens, toxicity
 from sieveline.llm.common import table
 
 #: Places of the public vocabularies; parameters of the operators.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +61,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_ngram_jaccard, op3_line_dedup, op4_embedding_dedup, op5_mix_sources, op6_chat_format, op7_license_scan, op8_token_counts, op9_decontaminate, op10_toxicity)}
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), WORD_BPE).drop("text")
+    read = bpe.decode(encoded, WORD_BPE)
+    return read.select("doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_ngram_jaccard, op3_line_dedup, op4_embedding_dedup, op5_mix_sources, op6_chat_format, op7_license_scan, op8_token_counts, op9_decontaminate, op10_toxicity, op12_bpe_round_trip)}
 
 #: The conversations' digests follow from the rows alone: escaping is length arithmetic, reading back gives the rows.
 _OP6 = r"""
