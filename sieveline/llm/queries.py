@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import bpe, chat, decontam, embed_dedup, langid, licenses, lines, mixing, ngram_join, tokens, toxicity
+from sieveline.llm import bpe, chat, decontam, embed_dedup, langid, licenses, lines, mixing, ngram_join, search, tokens, toxicity
 from sieveline.llm.common import table
 
 #: Places of the public vocabularies; parameters of the operators.
@@ -61,13 +61,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), WORD_BPE).drop("text")
     read = bpe.decode(encoded, WORD_BPE)
     return read.select("doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_ngram_jaccard, op3_line_dedup, op4_embedding_dedup, op5_mix_sources, op6_chat_format, op7_license_scan, op8_token_counts, op9_decontaminate, op10_toxicity, op12_bpe_round_trip)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_ngram_jaccard, op3_line_dedup, op4_embedding_dedup, op5_mix_sources, op6_chat_format, op7_license_scan, op8_token_counts, op9_decontaminate, op10_toxicity, op11_ranked_search, op12_bpe_round_trip)}
 
 #: The conversations' digests follow from the rows alone: escaping is length arithmetic, reading back gives the rows.
 _OP6 = r"""
@@ -88,4 +92,19 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
-ORACLE_SQL = {"op6_chat_format": _OP6}
+#: Every document's score for every item, without any skipping.
+_OP11 = r"""
+WITH words AS (
+  SELECT doc_id, row_number() OVER () AS doc, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), held AS (SELECT doc, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM (SELECT doc, doc_id, unnest(w) AS term FROM words) GROUP BY doc, term),
+whole AS (SELECT CAST(count(*) FILTER (len(w) > 0) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM words),
+weight AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight FROM held, whole GROUP BY term, n_docs),
+asked AS (SELECT item_id, term, count(*) AS n FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY 1, 2),
+scored AS (
+  SELECT item_id, h.doc, any_value(h.doc_id) AS doc_id, CAST(sum(n * weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * len(w) * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN held h USING (term) JOIN weight USING (term) JOIN words USING (doc), whole GROUP BY item_id, h.doc
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 10
+"""
+
+ORACLE_SQL = {"op6_chat_format": _OP6, "op11_ranked_search": _OP11}
