@@ -28,15 +28,16 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
 from sieveline.llm.common import reach_workers
 
 #: Words and pairs that a task remembers; beyond that it forgets all and starts again.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 17
 #: Characters of text whose words are judged together.
-BLOCK = 1 << 22
+BLOCK = 1 << 20
 _BASE = 1 << 20
 _NEVER = np.int64(1) << 40
 
@@ -65,9 +66,7 @@ class Vocabulary:
         self.suffix = model["end_of_word_suffix"]
         self.ids: dict[str, int] = model["vocab"]
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens: list[str] = [""] * (1 + max(*self.ids.values(), *self.added.values()))
-        for text, i in [*self.ids.items(), *self.added.items()]:
-            self.tokens[i] = text
+        self.tokens = token_names(path)
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         #: (left, right) to (rank, joined)
         self.merges = {(self.ids[a], self.ids[b]): (rank, self.ids[a + b]) for rank, (a, b) in enumerate(pairs)}
@@ -208,7 +207,7 @@ class Vocabulary:
         """The packed ids of words in the vocabulary's letters: proposals, one test of all pairs, exact merging where it fails."""
         marked = [w + "\n" for w in spelled]
         proposals = [self.propose(w) for w in marked]
-        size = np.array([len(p) for p in proposals])
+        size = np.array([len(p) for p in proposals], np.int64)
         flat = np.fromiter((t for p in proposals for t in p), np.int64, int(size.sum()))
         word = np.repeat(np.arange(len(size)), size)
         inside = np.flatnonzero(word[1:] == word[:-1]) if len(word) else np.zeros(0, np.int64)
@@ -228,6 +227,18 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+@cache
+def token_names(path: str) -> list[str]:
+    """The string of each id; all that decoding needs."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    named = [*spec["model"]["vocab"].items(), *((t["content"], t["id"]) for t in spec["added_tokens"])]
+    out = [""] * (1 + max(i for _, i in named))
+    for text, i in named:
+        out[i] = text
+    return out
+
+
 @cache
 def _library(path: str):
     """The file's own normalizer and splitter, for texts beyond Latin letters."""
@@ -277,14 +288,13 @@ def _schema(df: DataFrame, own: str):
     return ", ".join([f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name.lower() not in names] + [own])
 
 
-def _blocks(texts: list[str]):
+def _slices(batch: pa.RecordBatch, column: str):
+    """Parts of the batch that hold about ``BLOCK`` bytes of the column (or one row), so that memory doesn't follow the rows of a batch."""
+    size = np.cumsum(np.array(pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0)))
     i = 0
-    while i < len(texts):
-        j, size = i, 0
-        while j < len(texts) and (j == i or size + len(texts[j]) <= BLOCK):
-            size += len(texts[j])
-            j += 1
-        yield i, j
+    while i < len(batch):
+        j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + BLOCK, "right")))
+        yield batch.slice(i, j - i)
         i = j
 
 
@@ -295,9 +305,9 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     def run(batches):
         vocab = vocabulary(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            packed = [p for i, j in _blocks(texts) for p in encode_texts(vocab, path, texts[i:j])]
-            yield _with(batch, {"n_tokens": pa.array([len(p) // 4 for p in packed], pa.int64()), "packed": pa.array(packed, pa.binary())})
+            for part in _slices(batch, text):
+                packed = encode_texts(vocab, path, [t or "" for t in part.column(part.schema.get_field_index(text)).to_pylist()])
+                yield _with(part, {"n_tokens": pa.array([len(p) // 4 for p in packed], pa.int64()), "packed": pa.array(packed, pa.binary())})
 
     return docs.mapInArrow(run, _schema(docs, "n_tokens bigint, packed binary"))
 
@@ -307,9 +317,10 @@ def decode(encoded: DataFrame, path: str, packed: str = "packed") -> DataFrame:
     reach_workers(encoded.sparkSession)
 
     def run(batches):
-        name = vocabulary(path).tokens.__getitem__
+        name = token_names(path).__getitem__
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index(packed)).to_pylist()
-            yield _with(batch, {"decoded": pa.array([" ".join(map(name, np.frombuffer(p or b"", "<u4").tolist())) for p in ids], pa.string())})
+            for part in _slices(batch, packed):
+                ids = part.column(part.schema.get_field_index(packed)).to_pylist()
+                yield _with(part, {"decoded": pa.array([" ".join(map(name, np.frombuffer(p or b"", "<u4").tolist())) for p in ids], pa.string())})
 
     return encoded.mapInArrow(run, _schema(encoded, "decoded string"))

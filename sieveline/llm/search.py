@@ -142,7 +142,7 @@ class Shard:
         worth = impact(tf.astype(np.int64), length[docs], n_docs, n_terms)
         present, first = np.unique(code >> 32, return_index=True)
         most = np.maximum.reduceat(worth, first) if len(first) else first
-        ends = np.append(first[1:], len(code))
+        ends = np.append(first[1:], len(code))[: len(first)]
         self.at = {t: (a, b, m) for t, a, b, m in zip(present.tolist(), first.tolist(), ends.tolist(), most.tolist(), strict=True)}
         self.docs, self.worth = array("q", docs.astype(np.int64).tobytes()), array("q", worth.astype(np.int64).tobytes())
 
