@@ -35,11 +35,14 @@ from pyspark.sql import DataFrame
 from sieveline.llm.common import reach_workers
 
 #: Words and pairs that a task remembers; beyond that it forgets all and starts again.
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 19
 #: Characters of text whose words are judged together.
 BLOCK = 1 << 20
+#: Letters up to which a word's pairs are searched one by one.
+SHORT = 48
 _BASE = 1 << 20
 _NEVER = np.int64(1) << 40
+_NO = (1 << 40, -1)
 
 #: White space of the splitter's regular expression engine, written out.
 _WHITE = "\\t-\\r \\x85\\xa0"
@@ -109,11 +112,12 @@ class Vocabulary:
         for t, ok in sorted(zip(made.tolist(), good.tolist(), strict=True), key=lambda x: born[x[0]]):
             reached[t] = ok and reached[left[t]] and reached[right[t]]
         self.spell = {self.tokens[t].removesuffix(self.suffix) + "\n" if self.tokens[t].endswith(self.suffix) and len(self.tokens[t]) > len(self.suffix) else self.tokens[t]: int(t) for t in np.flatnonzero(reached)}
-        #: The lengths that tokens of the same first three letters have, longest first; shorter tokens stand under their own.
-        lengths: dict[str, set[int]] = {}
+        #: By their first four letters the lengths of longer tokens; by any four letters of a word the lengths to try there, longest first.
+        self.heads: dict[str, set[int]] = {}
         for t in self.spell:
-            lengths.setdefault(t[:3], set()).add(len(t))
-        self.lengths = {head: sorted(n | {len(head[:k]) for k in (1, 2) if head[:k] in self.spell}, reverse=True) for head, n in lengths.items()}
+            if len(t) >= 4:
+                self.heads.setdefault(t[:4], set()).add(len(t))
+        self.lengths: dict[str, tuple[int, ...]] = {}
         self.known = np.zeros(0, np.int64)
         self.verdict = np.zeros(0, bool)
 
@@ -151,8 +155,20 @@ class Vocabulary:
         return ok
 
     def merge(self, symbols: list[int]) -> list[int]:
-        """Exact merging: the lowest rank first, of equal ones the leftmost, by a heap over a linked list."""
+        """Exact merging: the lowest rank first, of equal ones the leftmost; long words by a heap over a linked list."""
         n, merges = len(symbols), self.merges
+        if n <= SHORT:
+            ids, get = [*symbols], merges.get
+            ranks = [get(p, _NO)[0] for p in zip(ids, ids[1:])]  # noqa: B905
+            while ranks and (rank := min(ranks)) < _NO[0]:
+                i = ranks.index(rank)
+                ids[i : i + 2] = [merges[ids[i], ids[i + 1]][1]]
+                del ranks[i]
+                if i:
+                    ranks[i - 1] = get((ids[i - 1], ids[i]), _NO)[0]
+                if i < len(ranks):
+                    ranks[i] = get((ids[i], ids[i + 1]), _NO)[0]
+            return ids
         ids, follow, before = [*symbols], [*range(1, n), -1], [*range(-1, n - 1)]
         heap = [(m[0], i, ids[i], ids[i + 1]) for i in range(n - 1) if (m := merges.get((ids[i], ids[i + 1])))]
         heapq.heapify(heap)
@@ -175,7 +191,13 @@ class Vocabulary:
         """Greedy longest match over a word's letters and the mark ``\\n`` of its end; a token takes its last letter with the mark or neither."""
         spell, lengths, n, i, out = self.spell, self.lengths, len(spelled), 0, []
         while i < n:
-            for size in lengths.get(spelled[i : i + 3]) or lengths.get(spelled[i : i + 2]) or lengths.get(spelled[i], ()):
+            four = spelled[i : i + 4]
+            sizes = lengths.get(four)
+            if sizes is None:
+                if len(lengths) > REMEMBERED:
+                    lengths.clear()
+                sizes = lengths[four] = (*sorted(self.heads.get(four, ()), reverse=True), *(k for k in (3, 2, 1) if four[:k] in spell and k <= len(four)))
+            for size in sizes:
                 j = i + size
                 if j <= n and j != n - 1 and (t := spell.get(spelled[i:j])) is not None:
                     out.append(t)
@@ -214,11 +236,11 @@ class Vocabulary:
         failed = size == 0
         if len(inside):
             failed[word[inside[~self._judged(flat[inside] * _BASE + flat[inside + 1])]]] = True
-        out = []
-        for w, p, bad in zip(spelled, proposals, failed.tolist(), strict=True):
-            if bad:
-                p = self.merge(self._symbols(w + self.suffix))  # noqa: PLW2901
-            out.append(np.array(p, "<u4").tobytes())
+        ends = 4 * np.cumsum(size)
+        packed = flat.astype("<u4").tobytes()
+        out = [packed[a:b] for a, b in zip((ends - 4 * size).tolist(), ends.tolist(), strict=True)]
+        for i in np.flatnonzero(failed).tolist():
+            out[i] = np.array(self.merge(self._symbols(spelled[i] + self.suffix)), "<u4").tobytes()
         return out
 
 
