@@ -42,8 +42,14 @@ def confusion(outcome: DataFrame) -> DataFrame:
     """From ``gold`` and ``predicted`` (ACCEPT or REJECT): counts and rates; REJECT is the positive class."""
     c = lambda g, p: F.count_if((F.col("gold") == g) & (F.col("predicted") == p))
     r = outcome.agg(c("REJECT", "REJECT").alias("tp"), c("ACCEPT", "REJECT").alias("fp"), c("ACCEPT", "ACCEPT").alias("tn"), c("REJECT", "ACCEPT").alias("fn"), F.count_if(F.col("gold").isNull()).alias("unresolved"))
-    precision, recall = ratio(F.col("tp"), F.col("tp") + F.col("fp")), ratio(F.col("tp"), F.col("tp") + F.col("fn"))
-    return r.select("*", F.round(precision, 9).alias("prec"), F.round(recall, 9).alias("recall"), F.round(ratio(2 * precision * recall, precision + recall), 9).alias("f1"), F.round(ratio(F.col("fp"), F.col("fp") + F.col("tn")), 9).alias("frr"), F.round(ratio(F.col("tp") + F.col("tn"), F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")), 9).alias("accuracy"))
+    return r.select("*", *rates(*map(F.col, ("tp", "fp", "tn", "fn"))))
+
+
+def rates(tp, fp, tn, fn) -> list[F.Column]:
+    """prec, recall, f1, frr (good ones that were rejected), accuracy, each 0 where it would divide by 0."""
+    precision, recall = ratio(tp, tp + fp), ratio(tp, tp + fn)
+    named = {"prec": precision, "recall": recall, "f1": ratio(2 * precision * recall, precision + recall), "frr": ratio(fp, fp + tn), "accuracy": ratio(tp + tn, tp + fp + tn + fn)}
+    return [F.round(c, 9).alias(n) for n, c in named.items()]
 
 
 def distribution(df: DataFrame, value: str, *by: str) -> DataFrame:

@@ -342,7 +342,7 @@ def q_probe_events(spark, d):
     return x.select("p_partkey", F.explode(S.probe_events(F.col("smiles"), F.col("parent"), F.lit("GET_PARENT"))).alias("e")).select("p_partkey", "e.*")
 
 
-_RATERS = "SELECT CASE quality WHEN 1 THEN 'ACCEPT' WHEN 0 THEN 'REJECT' END AS a, CASE toxic WHEN 0 THEN 'ACCEPT' WHEN 1 THEN 'REJECT' END AS b, doc_id FROM labels"
+RATERS = "SELECT CASE quality WHEN 1 THEN 'ACCEPT' WHEN 0 THEN 'REJECT' END AS a, CASE toxic WHEN 0 THEN 'ACCEPT' WHEN 1 THEN 'REJECT' END AS b, doc_id FROM labels"
 
 
 def _raters(spark, d):
@@ -353,17 +353,17 @@ def _raters(spark, d):
 _BANDS = "CASE " + " ".join(f"WHEN k >= {v} THEN '{n}'" for v, n in validate.BANDS) + f" ELSE '{validate.WORST}' END"
 
 
-@query(f"WITH r AS ({_RATERS}), p AS (SELECT * FROM r WHERE a IS NOT NULL AND b IS NOT NULL), t AS (SELECT count(*) AS n, count(*) FILTER (a = b) AS same, CAST(count(*) FILTER (a = 'ACCEPT') AS DOUBLE) * count(*) FILTER (b = 'ACCEPT') + CAST(count(*) FILTER (a = 'REJECT') AS DOUBLE) * count(*) FILTER (b = 'REJECT') AS ch FROM p), u AS (SELECT n, same, same / CAST(n AS DOUBLE) AS po, ch / (CAST(n AS DOUBLE) * n) AS pe FROM t), v AS (SELECT *, CASE WHEN pe >= 1 THEN 1.0 ELSE (po - pe) / (1 - pe) END AS k FROM u) SELECT n, round(po, 9) AS po, round(pe, 9) AS pe, round(k, 9) AS kappa, n - same AS disagreements, {_BANDS} AS interpretation FROM v")
+@query(f"WITH r AS ({RATERS}), p AS (SELECT * FROM r WHERE a IS NOT NULL AND b IS NOT NULL), t AS (SELECT count(*) AS n, count(*) FILTER (a = b) AS same, CAST(count(*) FILTER (a = 'ACCEPT') AS DOUBLE) * count(*) FILTER (b = 'ACCEPT') + CAST(count(*) FILTER (a = 'REJECT') AS DOUBLE) * count(*) FILTER (b = 'REJECT') AS ch FROM p), u AS (SELECT n, same, same / CAST(n AS DOUBLE) AS po, ch / (CAST(n AS DOUBLE) * n) AS pe FROM t), v AS (SELECT *, CASE WHEN pe >= 1 THEN 1.0 ELSE (po - pe) / (1 - pe) END AS k FROM u) SELECT n, round(po, 9) AS po, round(pe, 9) AS pe, round(k, 9) AS kappa, n - same AS disagreements, {_BANDS} AS interpretation FROM v")
 def q_kappa(spark, d):
     return validate.agreement(_raters(spark, d))
 
 
-@query(f"WITH r AS ({_RATERS}) SELECT doc_id, CASE WHEN a = b THEN a END AS resolved FROM r")
+@query(f"WITH r AS ({RATERS}) SELECT doc_id, CASE WHEN a = b THEN a END AS resolved FROM r")
 def q_resolved_label(spark, d):
     return _raters(spark, d).select("doc_id", validate.resolved_label(F.lit(None).cast("string"), F.col("a"), F.col("b")).alias("resolved"))
 
 
-@query(f"{RECORDS}, r AS ({_RATERS}), o AS (SELECT CASE WHEN a = b THEN a END AS gold, CASE WHEN status = 'PASSED' THEN 'ACCEPT' ELSE 'REJECT' END AS predicted FROM r JOIN records ON seq = doc_id), c AS (SELECT count(*) FILTER (gold = 'REJECT' AND predicted = 'REJECT') AS tp, count(*) FILTER (gold = 'ACCEPT' AND predicted = 'REJECT') AS fp, count(*) FILTER (gold = 'ACCEPT' AND predicted = 'ACCEPT') AS tn, count(*) FILTER (gold = 'REJECT' AND predicted = 'ACCEPT') AS fn, count(*) FILTER (gold IS NULL) AS unresolved FROM o), m AS (SELECT *, coalesce(tp / nullif(CAST(tp + fp AS DOUBLE), 0), 0) AS p, coalesce(tp / nullif(CAST(tp + fn AS DOUBLE), 0), 0) AS r FROM c) SELECT tp, fp, tn, fn, unresolved, round(p, 9) AS prec, round(r, 9) AS recall, round(coalesce(2 * p * r / nullif(p + r, 0), 0), 9) AS f1, round(coalesce(fp / nullif(CAST(fp + tn AS DOUBLE), 0), 0), 9) AS frr, round(coalesce((tp + tn) / nullif(CAST(tp + fp + tn + fn AS DOUBLE), 0), 0), 9) AS accuracy FROM m")
+@query(f"{RECORDS}, r AS ({RATERS}), o AS (SELECT CASE WHEN a = b THEN a END AS gold, CASE WHEN status = 'PASSED' THEN 'ACCEPT' ELSE 'REJECT' END AS predicted FROM r JOIN records ON seq = doc_id), c AS (SELECT count(*) FILTER (gold = 'REJECT' AND predicted = 'REJECT') AS tp, count(*) FILTER (gold = 'ACCEPT' AND predicted = 'REJECT') AS fp, count(*) FILTER (gold = 'ACCEPT' AND predicted = 'ACCEPT') AS tn, count(*) FILTER (gold = 'REJECT' AND predicted = 'ACCEPT') AS fn, count(*) FILTER (gold IS NULL) AS unresolved FROM o), m AS (SELECT *, coalesce(tp / nullif(CAST(tp + fp AS DOUBLE), 0), 0) AS p, coalesce(tp / nullif(CAST(tp + fn AS DOUBLE), 0), 0) AS r FROM c) SELECT tp, fp, tn, fn, unresolved, round(p, 9) AS prec, round(r, 9) AS recall, round(coalesce(2 * p * r / nullif(p + r, 0), 0), 9) AS f1, round(coalesce(fp / nullif(CAST(fp + tn AS DOUBLE), 0), 0), 9) AS frr, round(coalesce((tp + tn) / nullif(CAST(tp + fp + tn + fn AS DOUBLE), 0), 0), 9) AS accuracy FROM m")
 def q_confusion(spark, d):
     o = _raters(spark, d).join(records(spark, d).select(F.col("seq").alias("doc_id"), "status"), "doc_id")
     return validate.confusion(o.select(validate.resolved_label(F.lit(None).cast("string"), F.col("a"), F.col("b")).alias("gold"), F.when(F.col("status") == "PASSED", "ACCEPT").otherwise("REJECT").alias("predicted")))
