@@ -30,7 +30,7 @@ def block1(key: Column) -> Column:
     return F.substring_index(key, "-", 1)
 
 
-def _let(value: Column, body) -> Column:
+def let(value: Column, body) -> Column:
     """``body`` of a value that is worked out once, though lambdas inside refer to it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
@@ -42,9 +42,9 @@ def _numbered(members: Column) -> Column:
         heads = F.filter(F.transform(s, lambda x, i: F.when((i == 0) | (x != F.get(s, i - 1)), i)), lambda i: i.isNotNull())
         number = lambda i, at: F.concat(F.get(s, i), F.lit("\0"), (i - at).cast("string"))
         of = lambda h: F.transform(h, lambda at, j: F.transform(F.sequence(at, F.coalesce(F.get(h, j + 1), F.size(s)) - 1), lambda i: number(i, at)))
-        return _let(heads, lambda h: F.flatten(of(h)))
+        return let(heads, lambda h: F.flatten(of(h)))
 
-    return _let(F.array_sort(members), runs)
+    return let(F.array_sort(members), runs)
 
 
 def multiset_difference(before: Column, after: Column) -> Column:
