@@ -86,6 +86,9 @@ def features(data: np.ndarray, at: np.ndarray, learned: tuple[str, ...] = (), ne
     twice = np.zeros(len(data), bool)
     if len(data) > 2:
         twice[2:] = (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2]) & _LETTER[data[2:]]
+        # A text's first two bytes repeat nothing, whatever stands before it in the block.
+        twice[at[:-1][at[:-1] < len(data)]] = False
+        twice[at[:-1][at[:-1] + 1 < len(data)] + 1] = False
     bad = hit | taught | hidden
     first = np.searchsorted(doc, np.arange(n + 1))
     ran = sums(you)
