@@ -7,13 +7,16 @@ documents, held by a penalty as it can't always be met. No rate may exceed ``mos
 optimum tilts sizes exponentially, ``r_i = min(most, exp(lambda_source + mu * z_i))`` with
 ``z_i`` the document's log length less the mean, so documents of one source differ in rate.
 
-The convex dual is solved by Newton steps. Documents of one source and size share a rate, so
-Spark first counts them (never listing documents) and each step aggregates gradient and
-Hessian over those counts; the Hessian is an arrow (sources by ``mu``), of which only the
-corner, one number, comes to the driver. Steps end when no source is off its target by more
-than ``TOLERANCE``, or raise an error after ``STEPS``. Rates are rounded into whole copies
-from the largest size down, carrying the error on, and a hash of the document decides which
-of the equally long documents get the extra copy.
+Documents of one source and size share a rate, so Spark first counts them (never listing
+documents). Given ``mu``, a source's multiplier follows exactly from its counts: its documents
+reach the cap in the order of their tilt, and between two of them the token constraint is
+solved in closed form. What is left of the convex dual is a function of ``mu`` alone, whose
+slope never falls; Newton steps on it, one aggregate over the counts each, end where the
+slope is 0. A step that would leave the bracket of the signs seen so far, or that doesn't get
+on, halves the bracket instead, so that they end on every table. All sources meet their
+targets at every step. Rates are rounded into whole copies from the largest size down,
+carrying the error on, and a hash of the document decides which of the equally long documents
+get the extra copy.
 
 Edge cases: a null text has size 0 and is taken 0 times; null sources form one source, last
 in order; sources without words have the target 0; an empty table gives an empty result;
@@ -24,14 +27,15 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.llm.common import WORD, cut
 
-#: Most Newton steps, relative error of a source at the end, and what the length constraint weighs.
-STEPS, TOLERANCE, PENALTY = 60, 1e-6, 0.05
+#: What the length constraint may be off by at the end, and what it weighs.
+TOLERANCE, PENALTY = 1e-7, 0.05
 SALTS = 64
 
 
@@ -60,10 +64,49 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float
     return fits.select("source", "source_size", F.least(cap, F.col("level") * F.col("weight")).alias("target"))
 
 
-def _rate(most: float) -> F.Column:
-    # A source at its cap takes all of its documents that often.
-    full = F.col("target") >= F.col("source_size") * most * (1 - 1e-12)
-    return F.when(full, float(most)).otherwise(F.least(F.lit(float(most)), F.exp(F.least(F.col("lam") + F.col("mu") * F.col("z"), F.lit(50.0)))))
+def source_rates(s: np.ndarray, z: np.ndarray, target: float, mu: float, most: float) -> tuple[np.ndarray, np.ndarray]:
+    """The rates of one source's sizes (word shares ``s``, tilts ``z``) that meet its target, and which of them are below the cap."""
+    if target >= most * s.sum() * (1 - 1e-12):
+        return np.full(len(s), float(most)), np.zeros(len(s), bool)
+    x = mu * z
+    order = np.argsort(-x, kind="stable")
+    x, w = x[order], s[order]
+    # With the first k at the cap the others' multiplier is in closed form; the right k is the first that leaves the next one below the cap.
+    capped = np.concatenate([[0.0], np.cumsum(w)[:-1]])
+    rest = np.logaddexp.accumulate((np.log(w) + x)[::-1])[::-1]
+    left = target - most * capped
+    with np.errstate(invalid="ignore", divide="ignore"):
+        lam = np.where(left > 0, np.log(np.maximum(left, 1e-300)), -np.inf) - rest
+    k = int(np.argmax(lam + x <= math.log(most)))
+    rates = np.where(np.arange(len(x)) < k, float(most), np.exp(np.minimum(lam[k] + x, math.log(most))))
+    out, free = np.empty(len(x)), np.empty(len(x), bool)
+    out[order], free[order] = rates, np.arange(len(x)) >= k
+    return out, free
+
+
+def source_sums(s: np.ndarray, z: np.ndarray, target: float, mu: float, most: float) -> tuple[float, float]:
+    """What one source adds to the dual's slope at ``mu``, and to the slope's own slope."""
+    r, free = source_rates(s, z, target, mu, most)
+    m, f = s * r, s * r * free
+    a, b, c = f.sum(), (f * z).sum(), (f * z * z).sum()
+    return float((m * z).sum()), float(c - b * b / a) if a > 0 else 0.0
+
+
+def newton(sums) -> float:
+    """The ``mu`` at which the dual's slope is 0, from ``sums(mu)``: the sources' sums."""
+    mu, low, high, last = 0.0, -math.inf, math.inf, math.inf
+    while True:
+        slope, bend = sums(mu)
+        slope += PENALTY * mu
+        if abs(slope) <= TOLERANCE:
+            return mu
+        low, high = (low, mu) if slope > 0 else (mu, high)
+        to = mu - slope / (max(bend, 0.0) + PENALTY)
+        if math.isfinite(high - low) and (not low < to < high or abs(slope) > 0.5 * last):
+            to = (low + high) / 2
+        if to in (mu, low, high):
+            return mu
+        mu, last = to, abs(slope)
 
 
 def tilts(cells: DataFrame, goal: DataFrame, most: float = 3.0) -> DataFrame:
@@ -75,26 +118,26 @@ def tilts(cells: DataFrame, goal: DataFrame, most: float = 3.0) -> DataFrame:
     mean = whole["l"] / whole["w"]
     # Sums are in shares of all words, so that the penalty weighs the same at every size.
     base = cells.select("source", "size", "n", (F.log("size") - mean).alias("z"), (words / whole["w"]).alias("s"))
-    named = goal.where("source_size > 0").select(F.col("source").alias("gs"), "source_size", "target", (F.col("target") / whole["w"]).alias("t"), F.log(F.col("target") / F.col("source_size")).alias("lam"))
-    state, mu = cut(named), 0.0
-    for _ in range(STEPS):
-        x = base.join(state, F.col("source").eqNullSafe(F.col("gs"))).withColumn("mu", F.lit(mu)).withColumn("r", _rate(most))
-        free = F.when(F.col("r") < most, F.col("s") * F.col("r")).otherwise(0.0)
-        sums = x.groupBy("gs", "source_size", "target", "t", "lam").agg(F.sum(F.col("s") * F.col("r")).alias("m"), F.sum(F.col("s") * F.col("r") * F.col("z")).alias("mz"), F.sum(free).alias("a"), F.sum(free * F.col("z")).alias("b"), F.sum(free * F.col("z") ** 2).alias("c"))
-        sums = cut(sums.withColumns({"g": F.col("m") - F.col("t"), "some": F.col("a") > 1e-15}))
-        inv = F.when(F.col("some"), 1 / F.col("a")).otherwise(0.0)
-        # Gradient and Schur complement of mu; z has the mean 0 over all documents.
-        k = sums.agg(F.max(F.abs(F.col("g")) / F.col("t")).alias("off"), F.sum("mz").alias("mz"), F.sum("c").alias("c"), F.sum(F.col("b") * F.col("b") * inv).alias("bb"), F.sum(F.col("b") * F.col("g") * inv).alias("bg")).first()
-        gradient = k["mz"] + PENALTY * mu
-        # Sums of doubles differ in their last digits between runs; rates of nine digits do not.
-        if k["off"] <= TOLERANCE and abs(gradient) <= TOLERANCE:
-            return x.select("source", "size", "n", F.round("r", 9).alias("rate"))
-        step = max(-0.5, min(0.5, (gradient - k["bg"]) / (k["c"] - k["bb"] + PENALTY)))
-        move = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (F.col("g") - F.col("b") * step) * inv))
-        # A source whose documents are all at the cap, but should be below it, comes down.
-        move = F.when(F.col("some"), move).otherwise(F.when(F.col("g") > 0, 1.0).otherwise(0.0))
-        state, mu = sums.select("gs", "source_size", "target", "t", (F.col("lam") - move).alias("lam")), mu - step
-    raise ArithmeticError(f"entropy balancing is off its targets by {k['off']:.3g} after {STEPS} steps")
+    named = goal.where("source_size > 0").select(F.col("source").alias("gs"), (F.col("target") / whole["w"]).alias("t"))
+    # A group holds a source's distinct sizes, however many documents have them.
+    held = cut(base.join(named, F.col("source").eqNullSafe(F.col("gs"))).drop("gs"))
+
+    def sums(mu: float) -> tuple[float, float]:
+        def one(pdf):
+            pdf = pdf.sort_values("size")
+            return pd.DataFrame([source_sums(pdf["s"].to_numpy(), pdf["z"].to_numpy(), pdf["t"].iloc[0], mu, most)], columns=["slope", "bend"])
+
+        k = held.groupBy("source").applyInPandas(one, "slope double, bend double").agg(F.sum("slope").alias("slope"), F.sum("bend").alias("bend")).first()
+        return k["slope"], k["bend"]
+
+    mu = newton(sums)
+
+    def rated(pdf):
+        pdf = pdf.sort_values("size")
+        # Sums of doubles differ in their last digits between runs; rates of six digits do not.
+        return pdf.assign(rate=np.round(source_rates(pdf["s"].to_numpy(), pdf["z"].to_numpy(), pdf["t"].iloc[0], mu, most)[0], 6))[["source", "size", "n", "rate"]]
+
+    return held.groupBy("source").applyInPandas(rated, "source string, size long, n long, rate double")
 
 
 def _round(pdf, most: int):
