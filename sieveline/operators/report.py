@@ -106,3 +106,22 @@ def downstream(spark) -> DataFrame:
 def run_status(node_rows: DataFrame) -> DataFrame:
     any_ = lambda s: F.bool_or(F.col("node_status") == s)
     return node_rows.agg(F.when(any_("FAILED"), "FAILED").when(any_("RUNNING"), "RUNNING").when(any_("WARNING"), "WARNING").when(F.bool_and(F.col("node_status") == "SKIPPED"), "SKIPPED").otherwise("SUCCESS").alias("run_status"))
+
+
+#: Limbs of 32 bits that a row's SHA-256 is summed in.
+LIMBS = 8
+
+
+def output_digest(rows: DataFrame, *columns: str) -> DataFrame:
+    """n, digest: of a table as a multiset of rows, whatever their order and partitions; a doubled row changes it.
+
+    Each row's SHA-256 is summed in eight limbs modulo 2^32, which merges over tasks and over
+    tables (limb by limb). Rows are written with each value's length, so that no two rows are alike.
+    """
+    said = lambda c: F.coalesce(F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string")), F.lit("-"))
+    row = F.sha2(F.concat_ws(",", *(said(F.col(c)) for c in columns)), 256)
+    limb = lambda i: F.conv(F.substring(row, 8 * i + 1, 8), 16, 10).cast("bigint")
+    # Decimals hold the sums of any number of rows.
+    sums = rows.agg(F.count("*").alias("n"), *(F.sum(limb(i).cast("decimal(20,0)")).alias(f"s{i}") for i in range(LIMBS)))
+    part = lambda i: F.lpad(F.lower(F.hex((F.coalesce(F.col(f"s{i}"), F.lit(0)) % F.lit(1 << 32)).cast("bigint"))), 8, "0")
+    return sums.select("n", F.concat(*map(part, range(LIMBS))).alias("digest"))

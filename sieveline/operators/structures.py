@@ -42,7 +42,7 @@ def parent(smiles: Column) -> Column:
 
 
 def curate_structures(pairs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """The columns of a record (see the reference table in SURVEY) with deltas from input to parent, from ``seq, input_id, raw_smiles`` and an ``annotation``, if there is one.
+    """The columns of a record (see the record's table in SURVEY) with deltas from input to parent, from ``seq, input_id, raw_smiles`` and an ``annotation``, if there is one.
 
     Null and blank structures are rejected as empty; repeated rows are records of their own; extra columns are dropped.
     """
@@ -69,38 +69,41 @@ def curate_structures(pairs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     passed = F.col("rejection").isNull()
     skipped = F.col("excluded_flag") & (F.col("parent_smiles") == F.col("plain"))
     skip = F.array(F.struct(F.lit("STANDARDIZE").alias("stage"), F.lit("standardization_skipped_excluded").alias("rule"), F.col("plain").alias("before_smiles"), F.col("plain").alias("after_smiles"), F.lit("").alias("detail")))
-    events = F.when(F.col("given.code").isNotNull(), F.slice(skip, 1, 0)).otherwise(F.concat(F.when(skipped, skip).otherwise(F.slice(skip, 1, 0)), probe_events(F.col("given"), F.col("parent"), F.col("plain"), F.col("parent_smiles"))))
+    d = d.withColumn("before", measures(F.col("given"))).withColumn("after", F.when(F.col("parent_smiles") == F.col("plain"), F.col("before")).otherwise(measures(F.col("parent"))))
+    events = F.when(F.col("given.code").isNotNull(), F.slice(skip, 1, 0)).otherwise(F.concat(F.when(skipped, skip).otherwise(F.slice(skip, 1, 0)), probe_events(F.col("before"), F.col("after"), F.col("plain"), F.col("parent_smiles"))))
     identity = F.when(passed, G.identity_key(F.col("parent"), F.col("valence")))
-    charge = lambda g: F.aggregate(g, F.lit(0), lambda n, a: n + a["charge"])
     only = lambda c, other: F.when(passed, c).otherwise(other)
-    stereo = lambda g: F.size(F.filter(g, lambda a: a["chiral"] != ""))
     measured = F.col("rejection.stage").isNull() | (F.col("rejection.stage") == "ELIGIBILITY")
     d = d.withColumns({"identity": identity, "transformations": events})
     return d.select(
         "seq", "input_id", "raw_smiles", F.when(passed, F.col("parent_smiles")).alias("curated_smiles"), "identity", F.split("identity", "-")[0].alias("block1"),
         F.when(passed, "PASSED").otherwise("REJECTED").alias("status"), F.col("rejection.code").alias("rejection_code"), F.col("rejection.stage").alias("rejection_stage"), F.col("rejection.detail").alias("rejection_detail"),
-        "transformations", F.when(passed, S.removed_fragments(S.strip_isotopes(F.col("plain")), F.col("parent_smiles"))).alias("removed_fragments"),
-        only(charge("parent.atoms") - charge("given.atoms"), 0).alias("delta_net_charge"), only(stereo("parent.atoms") - stereo("given.atoms"), 0).alias("delta_stereocenters"), only(stereo("parent.atoms"), 0).alias("n_stereocenters_total"),
+        "transformations", F.when(passed & ~F.col("excluded_flag"), S.removed_fragments(S.strip_isotopes(F.col("plain")), F.col("parent_smiles"))).alias("removed_fragments"),
+        only(F.col("after.charge") - F.col("before.charge"), 0).alias("delta_net_charge"), only(F.col("after.stereo") - F.col("before.stereo"), 0).alias("delta_stereocenters"), only(F.col("after.stereo"), 0).alias("n_stereocenters_total"),
         only(F.size(F.split("parent_smiles", r"\.")), 0).alias("n_components_parent"), only(S.formula_delta(F.col("given_formula"), F.col("parent_formula")), "").alias("delta_formula"),
         F.when(measured, F.col("mw")).alias("parent_mw"), F.when(measured, F.col("heavy")).alias("parent_heavy_atoms"), (passed & F.col("excluded_flag")).alias("excluded_flag"), "annotation",
     )
 
 
-def probe_events(given: Column, kept: Column, before: Column, after: Column) -> Column:
-    """What changed from a structure to its parent, by their graphs: bound alkali atoms, flattened tartrate, charge, components; in fixed order."""
-    stage = F.lit("GET_PARENT")
-    bound_b, bound_a = G.count_matches(given, G.ALKALI), G.count_matches(kept, G.ALKALI)
-    charge = lambda g: F.aggregate(g["atoms"], F.lit(0), lambda n, a: n + a["charge"])
-    parts = lambda g: F.size(F.array_distinct(G.components(g)))
-    stereo = lambda g: F.size(F.filter(g["atoms"], lambda a: a["chiral"] != ""))
+def measures(g: Column) -> Column:
+    """struct(bound, tartrate, stereo, charge, parts): what the probes compare over a stage's boundary."""
+    return F.struct(
+        G.count_matches(g, G.ALKALI).alias("bound"), G.count_matches(g, G.TARTRATE).alias("tartrate"), F.size(F.filter(g["atoms"], lambda a: a["chiral"] != "")).alias("stereo"),
+        F.aggregate(g["atoms"], F.lit(0), lambda n, a: n + a["charge"]).alias("charge"), F.size(F.array_distinct(G.components(g))).alias("parts"),
+    )
+
+
+def probe_events(b: Column, a: Column, before: Column, after: Column) -> Column:
+    """What changed from a structure to its parent, by their ``measures``: bound alkali atoms, flattened tartrate, charge, components; in fixed order."""
+    stage, same = F.lit("GET_PARENT"), before == after
     event = lambda rule, detail: F.struct(stage.alias("stage"), F.lit(rule).alias("rule"), before.alias("before_smiles"), after.alias("after_smiles"), detail.alias("detail"))
-    same = before == after
+    arrow = lambda what, form="%d -> %d": F.format_string(form, b[what], a[what])
     changed = [
-        F.when(~same & (bound_b > bound_a), event("alkali_metal_ionized", F.format_string("%d -> %d", bound_b, bound_a))),
-        F.when(bound_a > 0, event("alkali_metal_residual", F.format_string("%d", bound_a))),
-        F.when(~same & (stereo(given) > stereo(kept)) & (G.count_matches(given, G.TARTRATE) > 0), event("tartrate_flattened", F.format_string("%d -> %d", stereo(given), stereo(kept)))),
-        F.when(~same & (charge(given) != charge(kept)), event("net_charge_changed", F.format_string("%+d -> %+d", charge(given), charge(kept)))),
-        F.when(~same & (parts(kept) < parts(given)), event("fragments_removed", F.coalesce(S.removed_fragments(S.strip_isotopes(before), after), F.lit("")))),
-        F.when(~same & (parts(kept) > parts(given)), event("fragments_split", F.format_string("%d -> %d", parts(given), parts(kept)))),
+        F.when(~same & (b["bound"] > a["bound"]), event("alkali_metal_ionized", arrow("bound"))),
+        F.when(a["bound"] > 0, event("alkali_metal_residual", F.format_string("%d", a["bound"]))),
+        F.when(~same & (b["stereo"] > a["stereo"]) & (b["tartrate"] > 0), event("tartrate_flattened", arrow("stereo"))),
+        F.when(~same & (b["charge"] != a["charge"]), event("net_charge_changed", arrow("charge", "%+d -> %+d"))),
+        F.when(~same & (a["parts"] < b["parts"]), event("fragments_removed", F.coalesce(S.removed_fragments(S.strip_isotopes(before), after), F.lit("")))),
+        F.when(~same & (a["parts"] > b["parts"]), event("fragments_split", arrow("parts"))),
     ]
     return F.filter(F.array(*changed), lambda e: e.isNotNull())

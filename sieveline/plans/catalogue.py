@@ -435,3 +435,13 @@ def q_rollup_rejections(spark, d):
 def q_events_tumbling(spark, d):
     w = table(spark, d, "events").groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
     return w.select(F.col("w.start").alias("window_start"), "event_type", "n", "total")
+
+
+_SAID = " || ',' || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("input_id", "status", "rejection_code", "identity", "curated_text"))
+_LIMBS = ", ".join(f"sum(CAST('0x' || substr(h, {8 * i + 1}, 8) AS BIGINT)) AS s{i}" for i in range(report.LIMBS))
+_HEX = " || ".join(f"lpad(lower(to_hex(CAST(coalesce(s{i}, 0) % 4294967296 AS BIGINT))), 8, '0')" for i in range(report.LIMBS))
+
+
+@query(f"{RECORDS}, hashed AS (SELECT sha256({_SAID}) AS h FROM records), summed AS (SELECT count(*) AS n, {_LIMBS} FROM hashed) SELECT n, {_HEX} AS digest FROM summed")
+def q_output_hash(spark, d):
+    return report.output_digest(records(spark, d), "input_id", "status", "rejection_code", "identity", "curated_text")

@@ -157,3 +157,30 @@ def q_canonical_class(spark, d):
 def structure_records(spark, d) -> DataFrame:
     parts = table(spark, d, "part").select(F.col("p_partkey").alias("seq"), F.col("p_partkey").cast("string").alias("input_id"), F.expr(smiles_sql()).alias("raw_smiles"), F.col("p_brand").alias("annotation"))
     return structures.curate_structures(parts, structures.Limits(max_weight=300.0, max_heavy_atoms=20))
+
+
+_LISTED = ", ".join(f"'{x}'" for x in structures.LISTED)
+_PARENTS = rf"""SELECT id, smiles, frags, list_sort(list_distinct(CASE WHEN len(kept) > 0 THEN kept ELSE frags END)) AS stay FROM (
+  SELECT *, list_filter(frags, lambda x: x NOT IN ({_LISTED})) AS kept FROM (SELECT p_partkey AS id, trim({smiles_sql()}) AS smiles, string_split(regexp_replace(trim({smiles_sql()}), '\[\d+([A-Za-z])', '[\1', 'g'), '.') AS frags FROM part))"""
+_WEIGHTS = ", ".join(f"('{e}', {w})" for e, w in WEIGHTS.items())
+_RECORDS = (
+    graph_sql(f"SELECT 2 * id AS id, smiles FROM ({_PARENTS}) UNION ALL SELECT 2 * id + 1, array_to_string(stay, '.') FROM ({_PARENTS})")
+    + VALENCE_SQL
+    + rf""", parents AS ({_PARENTS}), wt(e, w) AS (VALUES {_WEIGHTS}),
+measured AS (SELECT id, round(sum(CAST(w AS DOUBLE) * c), 6) AS mw, CAST(coalesce(sum(c) FILTER (e <> 'H'), 0) AS INTEGER) AS heavy FROM counts LEFT JOIN wt USING (e) GROUP BY 1),
+chosen AS (SELECT p.*, g.code AS given_code, 2 * p.id IN (SELECT id FROM metal) AS excluded, CASE WHEN 2 * p.id IN (SELECT id FROM metal) THEN 2 * p.id ELSE 2 * p.id + 1 END AS pid FROM parents p JOIN gated g ON g.id = 2 * p.id),
+changed AS (SELECT p, string_agg(CASE WHEN d > 0 THEN '+' ELSE '-' END || e || abs(d), ' ' ORDER BY e) AS delta FROM (SELECT p, e, CAST(sum(d) AS INTEGER) AS d FROM (SELECT h.id AS p, e, c AS d FROM chosen h JOIN counts n ON n.id = h.pid UNION ALL SELECT h.id, e, -c FROM chosen h JOIN counts n ON n.id = 2 * h.id) GROUP BY 1, 2) WHERE d <> 0 GROUP BY 1),
+gone AS (SELECT id, string_agg(x, '.' ORDER BY x) AS removed FROM (SELECT id, x, stay, row_number() OVER (PARTITION BY id, x) AS turn FROM (SELECT id, stay, unnest(frags) AS x FROM parents)) WHERE turn > CASE WHEN list_contains(stay, x) THEN 1 ELSE 0 END GROUP BY 1),
+judged AS (SELECT h.*, mw, heavy, CASE WHEN given_code IS NOT NULL THEN given_code WHEN NOT excluded AND v.code IS NOT NULL THEN 'ERR_VALENCE' WHEN mw > 300 THEN 'ERR_MW_LIMIT' WHEN heavy > 20 THEN 'ERR_HA_LIMIT' END AS code FROM chosen h JOIN gated v ON v.id = h.pid LEFT JOIN measured m ON m.id = h.pid)
+SELECT CAST(j.id AS VARCHAR) AS input_id, CASE WHEN code IS NULL THEN 'PASSED' ELSE 'REJECTED' END AS status, code AS rejection_code, CASE WHEN code IN ('ERR_EMPTY', 'ERR_SYNTAX') THEN 'PARSE' WHEN code = 'ERR_VALENCE' THEN 'VALENCE_GATE' WHEN code IS NOT NULL THEN 'ELIGIBILITY' END AS rejection_stage,
+  CASE WHEN code IS NULL THEN CASE WHEN excluded THEN smiles ELSE array_to_string(stay, '.') END END AS curated_smiles, CASE WHEN code IS NULL AND NOT excluded THEN removed END AS removed_fragments,
+  CASE WHEN code IS NULL THEN coalesce(b.q, 0) - coalesce(a.q, 0) ELSE 0 END AS delta_net_charge, CASE WHEN code IS NULL THEN coalesce(delta, '') ELSE '' END AS delta_formula,
+  CASE WHEN code IS NULL OR code LIKE '%LIMIT' THEN mw END AS parent_mw, CASE WHEN code IS NULL OR code LIKE '%LIMIT' THEN CAST(heavy AS DOUBLE) END AS parent_heavy_atoms, code IS NULL AND excluded AS excluded_flag,
+  CASE WHEN code IS NULL THEN CAST(CASE WHEN excluded THEN len(string_split(smiles, '.')) ELSE len(stay) END AS INTEGER) ELSE 0 END AS n_components_parent
+FROM judged j LEFT JOIN charges a ON a.id = 2 * j.id LEFT JOIN charges b ON b.id = j.pid LEFT JOIN changed c ON c.p = j.id LEFT JOIN gone x ON x.id = j.id"""
+)
+
+
+@query(_RECORDS)
+def q_structure_records(spark, d):
+    return structure_records(spark, d).select("input_id", "status", "rejection_code", "rejection_stage", "curated_smiles", "removed_fragments", "delta_net_charge", "delta_formula", "parent_mw", F.col("parent_heavy_atoms").cast("double").alias("parent_heavy_atoms"), "excluded_flag", "n_components_parent")

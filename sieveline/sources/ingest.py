@@ -107,6 +107,7 @@ def from_text(spark: SparkSession, text: str) -> DataFrame:
 
 
 def from_path(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
-    """Text files in the order of file and position; ``monotonically_increasing_id`` only orders, ``number`` makes ids."""
-    raw = spark.read.option("encoding", encoding).text(path).withColumn("at", F.monotonically_increasing_id())
-    return from_lines(raw.withColumn("value", F.regexp_replace("value", r"^\ufeff", "")))
+    """Text files in the order of their names, then of position. Spark packs parts of files into partitions by size; a line's place within a part only grows with ``monotonically_increasing_id``, and the file and the part's start come before it."""
+    raw = spark.read.option("encoding", encoding).text(path)
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
+    return from_lines(raw.select(place.alias("at"), F.regexp_replace("value", r"^\ufeff", "").alias("value")))

@@ -131,3 +131,24 @@ def test_streams(spark, tmp_path):
     q.awaitTermination(120)
     want = catalogue.records(spark, SF).where("identity is not null").select("identity").distinct().count()
     assert spark.table("firsts").count() == want
+
+
+def test_lines_of_several_files_stay_in_order(spark, tmp_path):
+    """Files of three sizes: Spark reads the largest first, the records follow the names."""
+    for name, n in (("a", 2), ("b", 300), ("c", 40)):
+        (tmp_path / f"{name}.txt").write_text("".join(f"{name}{i} C{'C' * (i % 5)}\n" for i in range(n)))
+    got = [r["input_id"] for r in ingest.from_path(spark, str(tmp_path)).orderBy("seq").collect()]
+    assert got == [f"{name}{i}" for name, n in (("a", 2), ("b", 300), ("c", 40)) for i in range(n)]
+
+
+def test_output_digest_is_of_a_multiset(spark):
+    rows = [(i, None if i % 3 == 0 else f"x{i}") for i in range(50)]
+    digest = lambda r, n=3: report.output_digest(spark.createDataFrame(r, "a long, b string").repartition(n), "a", "b").first()["digest"]
+    assert digest(rows) == digest(rows[::-1], 7) != digest([*rows, rows[0]]) and digest([(1, None)]) != digest([(1, "")])
+
+
+def test_repeated_records_conflict_one_less_than_they_are(spark):
+    r = spark.createDataFrame([(1, "a", "X-1-N", "X", "p")] * 4 + [(2, "b", "X-1-N", "X", None)] * 2 + [(3, "c", None, None, "p")] * 2, "seq long, input_id string, identity string, block1 string, annotation string")
+    got = sorted((x["incoming_id"], x["existing_id"], x["collision_type"]) for x in dedup.collisions(r).collect())
+    assert got == [("a", "a", dedup.EXACT)] * 3 + [("b", "a", dedup.EXACT)] * 2
+    assert dedup.collisions(r.limit(0)).count() == 0
