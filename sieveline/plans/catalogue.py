@@ -445,3 +445,36 @@ _HEX = " || ".join(f"lpad(lower(to_hex(CAST(coalesce(s{i}, 0) % 4294967296 AS BI
 @query(f"{RECORDS}, hashed AS (SELECT sha256({_SAID}) AS h FROM records), summed AS (SELECT count(*) AS n, {_LIMBS} FROM hashed) SELECT n, {_HEX} AS digest FROM summed")
 def q_output_hash(spark, d):
     return report.output_digest(records(spark, d), "input_id", "status", "rejection_code", "identity", "curated_text")
+
+
+_NAMES = lambda kinds: ", ".join(f"'{x}'" for x in sorted(kinds))
+_WHITE = r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_STRIP = lambda c: f"regexp_replace({c}, '^{_WHITE}+|{_WHITE}+$', '', 'g')"
+_CELLS = "CASE WHEN d IS NULL THEN regexp_split_to_array(value, '\\s+') ELSE string_split(value, d) END"
+#: Lines of the documents, each document an input; the sample's cells, each judged as a structure by its tokens, brackets and ring labels.
+_LAYOUTS = f"""WITH split_ AS (SELECT doc_id AS input, list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '\\r\\n|\\n|\\r'), lambda x: {_STRIP('x')}), lambda x: x <> '' AND NOT starts_with(x, '#')) AS l FROM documents),
+lines AS MATERIALIZED (SELECT input, CAST(unnest(range(0, len(l))) AS INTEGER) AS at_, unnest(l) AS value FROM split_),
+marks AS (SELECT input, d, rank, min(n) AS n, max(n) AS most FROM (SELECT input, d, rank, length(value) - length(replace(value, d, '')) AS n FROM lines, (VALUES {', '.join(f"(chr({ord(x)}), {i})" for i, x in enumerate(ingest.DELIMITERS))}) v(d, rank) WHERE at_ < {ingest.SAMPLE}) GROUP BY 1, 2, 3),
+cut_at AS MATERIALIZED (SELECT i.input, b.d FROM (SELECT DISTINCT input FROM lines) i LEFT JOIN (SELECT input, d FROM marks WHERE n = most AND n > 0 QUALIFY row_number() OVER (PARTITION BY input ORDER BY n DESC, rank) = 1) b USING (input)),
+cells AS MATERIALIZED (SELECT input, at_, CAST(unnest(range(0, len(c))) AS INTEGER) AS pos, unnest(c) AS cell FROM (SELECT input, at_, list_transform({_CELLS}, lambda x: {_STRIP('x')}) AS c FROM lines JOIN cut_at USING (input) WHERE at_ < {ingest.SAMPLE})),
+words AS (SELECT cell, regexp_replace(cell, '\\[[^\\[\\]]+\\]', 'C', 'g') AS body FROM (SELECT DISTINCT cell FROM cells)),
+turns AS (SELECT cell, min(s) AS low, max_by(s, i) AS last FROM (SELECT cell, i, sum(CASE t WHEN '(' THEN 1 ELSE -1 END) OVER (PARTITION BY cell ORDER BY i) AS s FROM (SELECT cell, unnest(regexp_extract_all(body, '[()]')) AS t, unnest(range(0, len(regexp_extract_all(body, '[()]')))) AS i FROM words)) GROUP BY 1),
+odd AS (SELECT DISTINCT cell FROM (SELECT cell, unnest(regexp_extract_all(body, '%\\d\\d|\\d')) AS x FROM words) GROUP BY cell, x HAVING count(*) % 2 = 1),
+parsed AS MATERIALIZED (SELECT cell, regexp_full_match(body, '(?:Br|Cl|[BCNOPSFIbcnops*]|[-=#$:/\\\\.()]|%\\d\\d|\\d)+') AND regexp_matches(body, '^[A-Za-z*]') AND coalesce(low >= 0 AND last = 0, TRUE) AND cell NOT IN (SELECT cell FROM odd) AS ok FROM words LEFT JOIN turns USING (cell)),
+shape AS MATERIALIZED (SELECT input, pos, max(lower(cell)) FILTER (at_ = 0) AS name, bool_or(at_ = 0 AND ok) AS top_ok, bool_or(at_ = 0) AS in_top, count(*) FILTER (ok) AS k, count(*) AS n FROM cells JOIN parsed USING (cell) GROUP BY 1, 2),
+heads AS (SELECT input, bool_or(n > 1) AND (bool_or(coalesce(name IN ({_NAMES(ingest.STRUCTURE_NAMES | ingest.ID_NAMES)}), FALSE)) OR NOT bool_or(top_ok)) AS header FROM shape GROUP BY 1),
+shares AS (SELECT s.*, header, CASE WHEN n - CAST(header AND in_top AS INTEGER) > 0 THEN (k - CAST(header AND top_ok AS INTEGER)) / CAST(n - CAST(header AND in_top AS INTEGER) AS DOUBLE) END AS share FROM shape s JOIN heads USING (input)),
+firsts AS (SELECT input, any_value(header) AS header, min(pos) FILTER (header AND name IN ({_NAMES(ingest.STRUCTURE_NAMES)})) AS s, min(pos) FILTER (header AND name IN ({_NAMES(ingest.ID_NAMES)})) AS i, max(share) AS top FROM shares GROUP BY 1),
+placed AS (SELECT f.*, coalesce(s, CASE WHEN top >= {ingest.LEAST} THEN (SELECT min(pos) FROM shares x WHERE x.input = f.input AND x.share = f.top) END, 0) AS structure FROM firsts f),
+layouts AS MATERIALIZED (SELECT p.input, c.d AS delimiter, header, CAST(structure AS INTEGER) AS structure, CAST(CASE WHEN s IS NOT NULL THEN i ELSE coalesce((SELECT min(pos) FROM shares x WHERE x.input = p.input AND p.header AND x.name IN ({_NAMES(ingest.ID_NAMES)}) AND x.pos <> p.structure), (SELECT min(pos) FROM shares x WHERE x.input = p.input AND x.share IS NOT NULL AND x.pos <> p.structure)) END AS INTEGER) AS id FROM placed p JOIN cut_at c USING (input))"""
+
+
+@query(f"{_LAYOUTS} SELECT input, coalesce(delimiter, 'white space') AS delimiter, header, structure, coalesce(id, -1) AS id FROM layouts")
+def q_header_detect(spark, d):
+    found = ingest.layouts(ingest.lines_of(table(spark, d, "documents"), "doc_id", "text"))
+    return found.select("input", F.coalesce("delimiter", F.lit("white space")).alias("delimiter"), "header", "structure", F.coalesce("id", F.lit(-1)).alias("id"))
+
+
+@query(f"{_LAYOUTS}, rows_ AS (SELECT l.input, at_ + 1 - CAST(header AS INTEGER) AS seq, id, structure, list_transform({_CELLS.replace('d IS NULL', 'delimiter IS NULL').replace('(value, d)', '(value, delimiter)')}, lambda x: {_STRIP('x')}) AS c FROM lines l JOIN layouts USING (input) WHERE NOT (header AND at_ = 0)) SELECT input, CAST(seq AS BIGINT) AS seq, coalesce(nullif(c[id + 1], ''), printf('CMPD_%07d', seq)) AS input_id, coalesce(c[structure + 1], '') AS raw_smiles FROM rows_")
+def q_ingest_lines(spark, d):
+    return ingest.ingest_lines(ingest.lines_of(table(spark, d, "documents"), "doc_id", "text"))

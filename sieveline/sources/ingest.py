@@ -111,3 +111,58 @@ def from_path(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFr
     raw = spark.read.option("encoding", encoding).text(path)
     place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
     return from_lines(raw.select(place.alias("at"), F.regexp_replace("value", r"^\ufeff", "").alias("value")))
+
+
+def lines_of(texts: DataFrame, input_: str, text: str) -> DataFrame:
+    """input, at, value: the lines of each text that aren't blank or comments, numbered from 0; a row is one input."""
+    kept = F.filter(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), r"\r\n|\n|\r"), strip), lambda x: (x != "") & ~x.startswith("#"))
+    return texts.select(F.col(input_).alias("input"), F.posexplode(kept).alias("at", "value"))
+
+
+def layouts(lines: DataFrame) -> DataFrame:
+    """input, delimiter, header, structure, id: the layout of each input of ``lines`` (input, at, value), all inputs at once.
+
+    Two grouped aggregates over the first ``SAMPLE`` lines of each: how steady each
+    delimiter stands, then what stands in each column. ``delimiter`` is null for white
+    space and ``id`` where ids are to be made up. An input without lines has no layout.
+    """
+    sample = lines.where(F.col("at") < SAMPLE)
+    mark = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.lit(i).alias("rank"), (F.length("value") - F.length(F.replace("value", F.lit(d), F.lit("")))).alias("n")) for i, d in enumerate(DELIMITERS)]))
+    steady = sample.select("input", mark.alias("m")).groupBy("input", "m.d", "m.rank").agg(F.min("m.n").alias("n"), F.max("m.n").alias("most"))
+    best = F.min(F.when((F.col("n") == F.col("most")) & (F.col("n") > 0), F.struct((-F.col("n")).alias("n"), "rank", "d")))
+    cut_at = steady.groupBy("input").agg(best["d"].alias("delimiter"))
+    cells = sample.join(cut_at, "input").select("input", "delimiter", (F.col("at") == 0).alias("top"), F.posexplode(split_cells("value", "delimiter")).alias("pos", "cell")).withColumn("ok", parses(F.col("cell")))
+    shape = cells.groupBy("input", "delimiter", "pos").agg(
+        F.max(F.when(F.col("top"), F.lower("cell"))).alias("name"), F.bool_or(F.col("top") & F.col("ok")).alias("top_ok"), F.bool_or("top").alias("in_top"), F.count_if("ok").alias("ok"), F.count("*").alias("n"),
+    )
+    # As many entries as the sample's longest line has columns.
+    whole = shape.groupBy("input", "delimiter").agg(F.array_sort(F.collect_list(F.struct("pos", "name", "top_ok", "in_top", "ok", "n"))).alias("cols"))
+    named = lambda kinds: lambda c: F.coalesce(c["name"].isin(*sorted(kinds)), F.lit(False))
+    header = F.exists("cols", lambda c: c["n"] > 1) & (F.exists("cols", named(STRUCTURE_NAMES | ID_NAMES)) | ~F.exists("cols", lambda c: c["top_ok"]))
+    whole = whole.withColumn("header", header)
+    pos = lambda kinds: F.transform(F.filter("cols", lambda c: F.col("header") & named(kinds)(c)), lambda c: c["pos"])
+    less = lambda flag: (F.col("header") & flag).cast("int")
+    held = F.filter("cols", lambda c: c["n"] - less(c["in_top"]) > 0)
+    share = F.transform(held, lambda c: F.struct((-(c["ok"] - less(c["top_ok"])) / (c["n"] - less(c["in_top"]))).alias("share"), c["pos"].alias("pos")))
+    whole = whole.withColumns({"s": F.get(pos(STRUCTURE_NAMES), F.lit(0)), "ids": pos(ID_NAMES), "share": share})
+    top = F.array_min("share")
+    whole = whole.withColumn("structure", F.coalesce("s", F.when(top["share"] <= -LEAST, top["pos"]), F.lit(0)))
+    other = F.get(F.filter(F.concat("ids", F.transform("share", lambda x: x["pos"])), lambda p: p != F.col("structure")), F.lit(0))
+    return whole.select("input", "delimiter", "header", "structure", F.when(F.col("s").isNotNull(), F.get("ids", F.lit(0))).otherwise(other).alias("id"))
+
+
+def split_cells(value: str, delimiter: str) -> Column:
+    """The cells of a line by its input's own delimiter; by white space where that is null."""
+    d = F.col(delimiter)
+    parts = [F.when(d == x, F.split(value, "\\Q" + x + "\\E")) for x in DELIMITERS]
+    return F.transform(F.coalesce(*parts, F.split(value, r"\s+")), strip)
+
+
+def ingest_lines(lines: DataFrame) -> DataFrame:
+    """input, seq, input_id, raw_smiles: every line of every input by its input's layout; a join that adaptive execution can split where one input has very many lines."""
+    met = lines.join(layouts(lines), "input").withColumn("cells", split_cells("value", "delimiter")).where("not (header and at = 0)")
+    met = met.withColumn("seq", (F.col("at") + 1 - F.col("header").cast("int")).cast("long"))
+    cell = lambda i: F.coalesce(F.get("cells", i), F.lit(""))
+    made = F.format_string("CMPD_%07d", "seq")
+    given = F.when(F.col("id").isNotNull(), F.nullif(cell(F.col("id")), F.lit("")))
+    return met.select("input", "seq", F.coalesce(given, made).alias("input_id"), cell(F.col("structure")).alias("raw_smiles"))

@@ -152,3 +152,19 @@ def test_repeated_records_conflict_one_less_than_they_are(spark):
     got = sorted((x["incoming_id"], x["existing_id"], x["collision_type"]) for x in dedup.collisions(r).collect())
     assert got == [("a", "a", dedup.EXACT)] * 3 + [("b", "a", dedup.EXACT)] * 2
     assert dedup.collisions(r.limit(0)).count() == 0
+
+
+def test_many_inputs_are_ingested_at_once(spark):
+    """Each text as an input of its own gives what it gives alone."""
+    texts = [
+        "name;structure\nwater;O\nbenzene;c1ccccc1", "CCCl\nC=C\nC#N", "mol|grade\nCCBr|high\n|none\nOCCO|low", "#!\n\n  x7\t C(F)F \nx8\tNCC", "k1 CCS\nk2\nk3 CCP", "", None,
+        "compound_id,smiles\r\nA1,CCO\r\nA2,c1ccccc1", "SMILES,Tipo\nCCO,ok\n,vazio\nCCN,ok", "CCO first\nCCN second", "hello", "id\tsmiles\nX\tCCO", "\n".join(f"m{i},CC{'C' * (i % 9)}" for i in range(300)),
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc long, t string")
+    got = {}
+    for r in ingest.ingest_lines(ingest.lines_of(df, "doc", "t")).orderBy("input", "seq").collect():
+        got.setdefault(r["input"], []).append((r["seq"], r["input_id"], r["raw_smiles"]))
+    for i, text in enumerate(texts):
+        alone = [(r["seq"], r["input_id"], r["raw_smiles"]) for r in ingest.from_text(spark, text or "").orderBy("seq").collect()]
+        assert got.get(i, []) == alone, text
+    assert ingest.ingest_lines(ingest.lines_of(df.limit(0), "doc", "t")).count() == 0
