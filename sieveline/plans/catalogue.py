@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.functions import structure as S
-from sieveline.operators import curate, dedup, report, schema, validate
+from sieveline.operators import curate, dedup, gold, report, schema, validate
 from sieveline.sources import ingest
 
 QUERIES: dict = {}
@@ -478,3 +478,33 @@ def q_header_detect(spark, d):
 @query(f"{_LAYOUTS}, rows_ AS (SELECT l.input, at_ + 1 - CAST(header AS INTEGER) AS seq, id, structure, list_transform({_CELLS.replace('d IS NULL', 'delimiter IS NULL').replace('(value, d)', '(value, delimiter)')}, lambda x: {_STRIP('x')}) AS c FROM lines l JOIN layouts USING (input) WHERE NOT (header AND at_ = 0)) SELECT input, CAST(seq AS BIGINT) AS seq, coalesce(nullif(c[id + 1], ''), printf('CMPD_%07d', seq)) AS input_id, coalesce(c[structure + 1], '') AS raw_smiles FROM rows_")
 def q_ingest_lines(spark, d):
     return ingest.ingest_lines(ingest.lines_of(table(spark, d, "documents"), "doc_id", "text"))
+
+
+#: The labels as an annotated file: small letters, blanks, missing and unknown labels, some disagreements settled.
+_GOLD = {
+    "row": "doc_id + 2", "compound_id": "concat(' D', CAST(doc_id AS {text}))", "raw_smiles": "'C'",
+    "annotator_a": "CASE WHEN doc_id % 41 = 3 THEN 'maybe' WHEN doc_id % 53 = 5 THEN '  ' WHEN quality = 1 THEN ' accept ' WHEN quality = 0 THEN 'REJECT' END",
+    "annotator_b": "CASE WHEN doc_id % 47 = 2 THEN NULL WHEN toxic = 1 THEN 'Reject' WHEN toxic = 0 THEN 'ACCEPT' END",
+    "consensus": "CASE WHEN doc_id % 59 = 1 THEN 'YES' WHEN doc_id % 3 = 0 THEN 'accept' WHEN doc_id % 3 = 1 THEN '' END", "reason": "CAST(NULL AS {text})",
+}
+_CAPS = lambda c: f"nullif(upper(trim(coalesce({c}, ''))), '')"
+_GOLD_SQL = "WITH given AS (SELECT " + ", ".join(f"{v.format(text='VARCHAR')} AS {k}" for k, v in _GOLD.items()) + f" FROM labels), capital AS (SELECT row, {', '.join(f'{_CAPS(c)} AS {c}, {c} AS {c}_raw' for c in ('annotator_a', 'annotator_b', 'consensus'))} FROM given)"
+
+
+def _gold(spark, d):
+    return table(spark, d, "labels").select(*(F.expr(v.format(text="STRING")).alias(k) for k, v in _GOLD.items()))
+
+
+@query(_GOLD_SQL + " " + " UNION ALL ".join(f"SELECT row, '{c}' AS field, {c}_raw AS value, 'neither ACCEPT nor REJECT' AS message FROM capital WHERE {c} NOT IN ('ACCEPT', 'REJECT')" for c in ("annotator_a", "annotator_b", "consensus")) + " UNION ALL SELECT row, 'annotators', NULL, 'both annotators need a label' FROM capital WHERE annotator_a IS NULL OR annotator_b IS NULL")
+def q_gold_errors(spark, d):
+    return gold.errors(_gold(spark, d))
+
+
+@query(
+    _GOLD_SQL + f""", good AS (SELECT *, coalesce(consensus, CASE WHEN annotator_a = annotator_b THEN annotator_a END) AS resolved FROM capital WHERE annotator_a IN ('ACCEPT', 'REJECT') AND annotator_b IN ('ACCEPT', 'REJECT') AND coalesce(consensus IN ('ACCEPT', 'REJECT'), TRUE)),
+t AS (SELECT count(*) AS n, count(*) FILTER (annotator_a = annotator_b) AS same, count(*) FILTER (resolved IS NULL) AS unresolved, CAST(count(*) FILTER (annotator_a = 'ACCEPT') AS DOUBLE) * count(*) FILTER (annotator_b = 'ACCEPT') + CAST(count(*) FILTER (annotator_a = 'REJECT') AS DOUBLE) * count(*) FILTER (annotator_b = 'REJECT') AS ch FROM good),
+u AS (SELECT *, same / CAST(n AS DOUBLE) AS po, ch / (CAST(n AS DOUBLE) * n) AS pe FROM t), v AS (SELECT *, CASE WHEN pe >= 1 THEN 1.0 ELSE (po - pe) / (1 - pe) END AS k FROM u)
+SELECT n, round(po, 9) AS po, round(pe, 9) AS pe, round(k, 9) AS kappa, n - same AS disagreements, {_BANDS} AS interpretation, unresolved, round(k, 9) >= 0.61 AS sufficient FROM v"""
+)
+def q_agreement_report(spark, d):
+    return gold.agreement_report(gold.entries(_gold(spark, d)))

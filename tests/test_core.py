@@ -4,7 +4,7 @@ import pytest
 import __spark_entry__ as entry
 from sieveline.functions import structure as S
 from sieveline.functions import text as T
-from sieveline.operators import curate, dedup, report, validate
+from sieveline.operators import curate, dedup, gold, report, validate
 from sieveline.plans import catalogue, cli
 from sieveline.sources import ingest, sink
 from sieveline.streaming import dedup_stream
@@ -168,3 +168,21 @@ def test_many_inputs_are_ingested_at_once(spark):
         alone = [(r["seq"], r["input_id"], r["raw_smiles"]) for r in ingest.from_text(spark, text or "").orderBy("seq").collect()]
         assert got.get(i, []) == alone, text
     assert ingest.ingest_lines(ingest.lines_of(df.limit(0), "doc", "t")).count() == 0
+
+
+def test_gold_standard_file(spark, tmp_path):
+    path = tmp_path / "gold.csv"
+    path.write_text('compound_id,raw_smiles,annotator_a,annotator_b,consensus,reason,more\nA1,"C,C",accept,ACCEPT,,"said ""yes""",x\n A2 ,CC,Accept,reject, REJECT ,,x\nA3,C,perhaps,REJECT,no,,x\nA4,C,,REJECT,,,x\nA5,C,ACCEPT,REJECT,,,x\n')
+    rows = gold.read(spark, str(path))
+    assert {(e["row"], e["field"], e["value"]) for e in gold.errors(rows).collect()} == {(4, "annotator_a", "perhaps"), (4, "consensus", "no"), (5, "annotators", None)}
+    got = {e["compound_id"]: e for e in gold.entries(rows).collect()}
+    assert {k: (e["row"], e["resolved"]) for k, e in got.items()} == {"A1": (2, "ACCEPT"), "A2": (3, "REJECT"), "A5": (6, None)}
+    assert got["A1"]["raw_smiles"] == "C,C" and got["A1"]["reason"] == 'said "yes"'
+    report_ = gold.agreement_report(gold.entries(rows)).first()
+    assert (report_["n"], report_["disagreements"], report_["unresolved"], report_["sufficient"]) == (3, 2, 1, False)
+    (tmp_path / "bad.csv").write_text("compound_id,raw_smiles\nA,C\n")
+    with pytest.raises(ValueError, match="annotator_a, annotator_b"):
+        gold.read(spark, str(tmp_path / "bad.csv"))
+    gold.write_template(spark.createDataFrame([("a", "C"), ("b", "CC")], "input_id string, raw_smiles string"), str(tmp_path / "blank"))
+    blank = gold.read(spark, str(tmp_path / "blank"))
+    assert blank.count() == 2 and gold.errors(blank).count() == 2 and gold.entries(blank).count() == 0
