@@ -47,9 +47,14 @@ def smiles_sql(way: int = 0) -> str:
     return f"CASE WHEN p_partkey % 97 = 0 THEN ' ' ELSE concat({', '.join(parts)}) END"
 
 
+def parts(spark, d) -> DataFrame:
+    """The parts' few columns, dealt over all cores: a small file is one partition, and each of its keys becomes a structure's work."""
+    return table(spark, d, "part").select("p_partkey", "p_size", "p_brand").repartition(spark.sparkContext.defaultParallelism)
+
+
 def structured(spark, d, way: int = 0) -> DataFrame:
     """p_partkey, smiles, g, v: the parts' structures as graphs with their valences."""
-    made = table(spark, d, "part").select("p_partkey", F.expr(smiles_sql(way)).alias("smiles"))
+    made = parts(spark, d).select("p_partkey", F.expr(smiles_sql(way)).alias("smiles"))
     return made.withColumn("g", G.parse(F.col("smiles"))).withColumn("v", G.valences(F.col("g")))
 
 
@@ -108,7 +113,7 @@ def q_parse_graph(spark, d):
     g = F.col("g")
     pairs = F.array_sort(F.transform(g["bonds"], lambda b: F.struct(F.least(b["a"], b["b"]).alias("x"), F.greatest(b["a"], b["b"]).alias("y"), b["o"].alias("o"))))
     said = F.transform(g["atoms"], lambda a: F.concat(a["element"], F.when(a["aromatic"], "~").otherwise(""), F.format_string("%+d", a["charge"]), F.coalesce(F.concat(F.lit("H"), a["hydrogens"].cast("string")), F.lit("")), F.when(a["isotope"] > 0, F.concat(F.lit("^"), a["isotope"].cast("string"))).otherwise("")))
-    made = table(spark, d, "part").select("p_partkey", G.parse(F.expr(smiles_sql())).alias("g"))
+    made = parts(spark, d).select("p_partkey", G.parse(F.expr(smiles_sql())).alias("g"))
     return made.select("p_partkey", "g.code", F.size("g.atoms").alias("n_atoms"), F.size("g.bonds").alias("n_bonds"), F.array_join(F.transform(pairs, lambda p: F.concat(p["x"].cast("string"), p["o"], p["y"].cast("string"))), " ").alias("bonds"), F.array_join(said, " ").alias("atoms"))
 
 
@@ -133,7 +138,7 @@ _COUNTED = "SELECT c.id AS p_partkey, CAST(coalesce(a.k, 0) AS INTEGER) AS alkal
 
 @query(graph_sql() + f", {_DEGREE}, carbons AS ({_CARBON}), oxygens AS ({_OXYGEN}), {_ALKALI}, {_TARTRATE} {_COUNTED}")
 def q_pattern_counts(spark, d):
-    g = table(spark, d, "part").select("p_partkey", G.parse(F.expr(smiles_sql())).alias("g"))
+    g = parts(spark, d).select("p_partkey", G.parse(F.expr(smiles_sql())).alias("g"))
     return g.select("p_partkey", G.count_matches(F.col("g"), G.ALKALI).alias("alkali"), G.count_matches(F.col("g"), G.TARTRATE).alias("tartrate"))
 
 
@@ -155,8 +160,8 @@ def q_canonical_class(spark, d):
 
 
 def structure_records(spark, d) -> DataFrame:
-    parts = table(spark, d, "part").select(F.col("p_partkey").alias("seq"), F.col("p_partkey").cast("string").alias("input_id"), F.expr(smiles_sql()).alias("raw_smiles"), F.col("p_brand").alias("annotation"))
-    return structures.curate_structures(parts, structures.Limits(max_weight=300.0, max_heavy_atoms=20))
+    given = parts(spark, d).select(F.col("p_partkey").alias("seq"), F.col("p_partkey").cast("string").alias("input_id"), F.expr(smiles_sql()).alias("raw_smiles"), F.col("p_brand").alias("annotation"))
+    return structures.curate_structures(given, structures.Limits(max_weight=300.0, max_heavy_atoms=20))
 
 
 _LISTED = ", ".join(f"'{x}'" for x in structures.LISTED)
