@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.operators.dedup import BLOCK1
-from sieveline.operators.schema import DEDUP, LABELS, stage_table
+from sieveline.operators.schema import DEDUP, LABELS, STAGES, stage_table
 
 
 def ratio(a, b) -> F.Column:
@@ -89,17 +89,31 @@ def nodes(records: DataFrame, conflicts: DataFrame) -> DataFrame:
     return all_.withColumn("node_status", stage_status(F.col("n_input"), F.col("n_output"))).withColumn("label", F.coalesce(named, F.initcap(F.translate(F.lower("stage"), "_", " "))))
 
 
-def edges(spark) -> DataFrame:
-    w = Window.orderBy("ordinal")
-    return stage_table(spark, True).select(F.col("stage").alias("source"), F.lead("stage").over(w).alias("target")).where("target is not null")
+def flow_edges(records: DataFrame, *by: str) -> DataFrame:
+    """``by``, source, target, n: how many records of each group went from a stage to the next one; edges that none took are left out.
+
+    A record takes the edges before the stage that rejected it. One aggregate by group and
+    stage; the edges of a group are then at most as many as stages.
+    """
+    order = F.array(*map(F.lit, [*STAGES, DEDUP]))
+    reached = F.when(F.col("status") == "REJECTED", F.array_position(order, F.col("rejection_stage"))).otherwise(F.size(order))
+    ends = records.groupBy(*by, reached.cast("int").alias("last")).agg(F.count("*").alias("n")).where("last > 1")
+    step = ends.select(*by, "n", F.explode(F.sequence(F.lit(1), F.col("last") - 1)).alias("i"))
+    return step.groupBy(*by, F.get(order, F.col("i") - 1).alias("source"), F.get(order, F.col("i")).alias("target")).agg(F.sum("n").alias("n"))
 
 
-def downstream(spark) -> DataFrame:
-    """stage, reachable: the transitive closure of the edges."""
-    e = edges(spark)
-    out = e.select(F.col("source").alias("stage"), F.col("target").alias("reachable"))
-    for _ in range(3):  # doubles the reach: 8 steps for 7 nodes
-        out = out.unionByName(out.alias("a").join(out.alias("b"), F.col("a.reachable") == F.col("b.stage")).select("a.stage", "b.reachable")).distinct()
+def downstream(edge_rows: DataFrame, *by: str, nodes: int = len(STAGES) + 1) -> DataFrame:
+    """``by``, source, reachable, steps: what each node of each group's graph leads to, by the fewest edges.
+
+    For graphs of few ``nodes``, such as those of stages. Each round joins the pairs known with
+    themselves and so doubles the reach; pairs met twice are one, so cycles do no harm (a node
+    on one leads to itself).
+    """
+    out = edge_rows.select(*by, "source", F.col("target").alias("reachable"), F.lit(1).alias("steps")).distinct()
+    for _ in range((nodes - 1).bit_length()):
+        on = out.select(*by, F.col("source").alias("reachable"), F.col("reachable").alias("beyond"), F.col("steps").alias("more"))
+        longer = out.join(on, [*by, "reachable"]).select(*by, "source", F.col("beyond").alias("reachable"), (F.col("steps") + F.col("more")).alias("steps"))
+        out = out.unionByName(longer).groupBy(*by, "source", "reachable").agg(F.min("steps").alias("steps"))
     return out
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sieveline.functions import structure as S
 from sieveline.operators import curate, dedup, gold, report, schema, validate
-from sieveline.sources import ingest
+from sieveline.sources import encoding, ingest
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -230,16 +230,18 @@ def q_run_status(spark, d):
 
 
 _ALL = "s(stage, ordinal) AS (VALUES " + ", ".join(f"('{s}', {i})" for i, s in enumerate([*schema.STAGES, schema.DEDUP])) + ")"
+_EDGES = f"""{RECORDS.replace('WITH', 'WITH RECURSIVE', 1)}, {_ALL}, reached AS (SELECT annotation, coalesce((SELECT ordinal FROM s WHERE stage = rejection_stage), {len(schema.STAGES)}) AS last FROM records),
+edges AS (SELECT annotation, a.stage AS source, b.stage AS target, count(*) AS n FROM reached JOIN s b ON b.ordinal <= last JOIN s a ON a.ordinal + 1 = b.ordinal GROUP BY ALL)"""
 
 
-@query(f"WITH {_ALL} SELECT a.stage AS source, b.stage AS target FROM s a JOIN s b ON b.ordinal = a.ordinal + 1")
+@query(f"{_EDGES} SELECT * FROM edges")
 def q_graph_edges(spark, d):
-    return report.edges(spark)
+    return report.flow_edges(records(spark, d), "annotation")
 
 
-@query(f"WITH {_ALL} SELECT a.stage, b.stage AS reachable FROM s a JOIN s b ON b.ordinal > a.ordinal")
+@query(f"{_EDGES}, r AS (SELECT annotation, source, target AS reachable, 1 AS steps FROM edges UNION SELECT r.annotation, r.source, e.target, steps + 1 FROM r JOIN edges e ON e.annotation = r.annotation AND e.source = r.reachable) SELECT annotation, source, reachable, min(steps) AS steps FROM r GROUP BY ALL")
 def q_downstream(spark, d):
-    return report.downstream(spark)
+    return report.downstream(report.flow_edges(records(spark, d), "annotation"), "annotation")
 
 
 #: Formulas and structures that parts are tested with, by part key.
@@ -480,6 +482,24 @@ def q_ingest_lines(spark, d):
     return ingest.ingest_lines(ingest.lines_of(table(spark, d, "documents"), "doc_id", "text"))
 
 
+#: Documents as lines of some files, each with a tail of bytes that UTF-8, cp1252 or only latin-1 can read.
+_FILE, _TAIL = "doc_id % 97", "CASE WHEN doc_id % 97 % 3 = 0 AND doc_id % 7 = 0 THEN 'E980' WHEN doc_id % 97 % 5 = 0 AND doc_id % 4 = 0 THEN '41819C' ELSE 'E282AC' END"
+_HIGH = {b: bytes([b]).decode("cp1252", "replace") for b in range(0x80, 0xA0)}
+_READ = [b for b, letter in _HIGH.items() if letter != "\ufffd"]
+_CODES = lambda codes: " || ".join(f"chr({c})" for c in codes)
+_ENCODED = f"""WITH raw AS (SELECT doc_id, {_FILE} AS input, coalesce(text, '') AS t, {_TAIL} AS tail, hex(encode(coalesce(text, ''))) || {_TAIL} AS h FROM documents),
+bytes AS MATERIALIZED (SELECT *, list_transform(range(0, length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS INTEGER)) AS b FROM raw),
+judged AS (SELECT input, CASE WHEN bool_and(tail = 'E282AC') THEN 'utf-8-sig' WHEN bool_and(NOT list_has_any(b, [129, 141, 143, 144, 157])) THEN 'cp1252' ELSE 'latin-1' END AS encoding FROM bytes GROUP BY 1),
+latin AS (SELECT doc_id, encoding, t, array_to_string(list_transform(b, lambda x: chr(x)), '') AS l FROM bytes JOIN judged USING (input)),
+texts AS (SELECT doc_id, encoding, CASE encoding WHEN 'utf-8-sig' THEN t || '€' WHEN 'cp1252' THEN translate(l, {_CODES(_READ)}, {_CODES(ord(_HIGH[b]) for b in _READ)}) ELSE l END AS value FROM latin)"""
+
+
+@query(f"{_ENCODED} SELECT doc_id, encoding, length(value) AS n_chars, sha256(value) AS value_hash FROM texts")
+def q_encodings(spark, d):
+    raw = table(spark, d, "documents").select("doc_id", F.expr(_FILE).alias("input"), F.concat(F.coalesce("text", F.lit("")).cast("binary"), F.unhex(F.expr(_TAIL))).alias("raw"))
+    return encoding.decode_lines(raw).select("doc_id", "encoding", F.length("value").cast("long").alias("n_chars"), F.sha2("value", 256).alias("value_hash"))
+
+
 #: The labels as an annotated file: small letters, blanks, missing and unknown labels, some disagreements settled.
 _GOLD = {
     "row": "doc_id + 2", "compound_id": "concat(' D', CAST(doc_id AS {text}))", "raw_smiles": "'C'",

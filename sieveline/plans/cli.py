@@ -9,7 +9,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from sieveline.operators.curate import Criteria, curate
-from sieveline.sources.sink import write_run
+from sieveline.sources.sink import policy_hash, write_run
+
+#: Fixed value: what marks runs without a policy's file, which compare with no other run.
+UNVERSIONED = "UNVERSIONED_POLICY"
 
 
 def run(argv: list[str] | None = None) -> int:
@@ -19,6 +22,8 @@ def run(argv: list[str] | None = None) -> int:
     p.add_argument("--max-chars", type=int, default=Criteria.max_chars)
     p.add_argument("--max-words", type=int, default=Criteria.max_words)
     p.add_argument("--require-letters", action="store_true")
+    p.add_argument("--format", choices=("parquet", "csv"), default="parquet")
+    p.add_argument("--policy", help="the file of the policy that the run follows; its hash goes into the manifest")
     p.add_argument("--quiet", action="store_true")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("sieveline").getOrCreate()
@@ -30,9 +35,15 @@ def run(argv: list[str] | None = None) -> int:
     if docs.isEmpty():
         print("the input is empty", file=sys.stderr)
         return 1
+    policy = UNVERSIONED
+    if a.policy:
+        try:
+            policy = policy_hash(spark, a.policy)
+        except AnalysisException:
+            print(f"no such policy: {a.policy}; the run is marked {UNVERSIONED}", file=sys.stderr)
     criteria = Criteria(max_chars=a.max_chars, max_words=a.max_words, require_letters=a.require_letters)
     try:
-        m = write_run(curate(docs, criteria), a.out_dir, vars(a) | {"criteria": criteria.describe()})
+        m = write_run(curate(docs, criteria), a.out_dir, vars(a) | {"criteria": criteria.describe()}, a.format, policy)
     except OSError as e:
         print(e, file=sys.stderr)
         return 1

@@ -16,6 +16,7 @@ from sieveline.functions.structure import WEIGHTS
 from sieveline.operators import structures
 from sieveline.plans import catalogue
 from sieveline.plans.catalogue import table
+from sieveline.sources import ingest
 
 
 def query(sql: str):
@@ -117,6 +118,24 @@ def q_parse_graph(spark, d):
     return made.select("p_partkey", "g.code", F.size("g.atoms").alias("n_atoms"), F.size("g.bonds").alias("n_bonds"), F.array_join(F.transform(pairs, lambda p: F.concat(p["x"].cast("string"), p["o"], p["y"].cast("string"))), " ").alias("bonds"), F.array_join(said, " ").alias("atoms"))
 
 
+def _rows(spark, d) -> DataFrame:
+    return parts(spark, d).select(F.col("p_partkey").alias("seq"), F.format_string("P%d", "p_partkey").alias("input_id"), F.expr(smiles_sql()).alias("raw_smiles"))
+
+
+_GIVEN = f"given AS (SELECT p_partkey AS seq, 'P' || p_partkey AS input_id, {smiles_sql()} AS raw_smiles FROM part)"
+
+
+@query(graph_sql() + f", {_GIVEN} SELECT (SELECT count(*) FROM codes) AS total, (SELECT count(*) FROM codes WHERE code IS NOT NULL) AS n_invalid, (SELECT string_agg(input_id || ' ' || raw_smiles, ', ' ORDER BY seq) FROM (SELECT * FROM given ORDER BY seq LIMIT 5)) AS head")
+def q_preview_head(spark, d):
+    said = F.array_join(F.transform("head", lambda h: F.concat(h["input_id"], F.lit(" "), h["raw_smiles"])), ", ")
+    return ingest.preview(_rows(spark, d)).withColumn("head", said)
+
+
+@query(graph_sql() + f", {_GIVEN} SELECT seq, input_id, raw_smiles, code FROM given JOIN codes ON id = seq WHERE code IS NOT NULL")
+def q_invalid_rows(spark, d):
+    return ingest.invalid(_rows(spark, d))
+
+
 @query(graph_sql() + VALENCE_SQL + """ SELECT p_partkey, code, excluded, CASE WHEN atoms_ IS NULL THEN '' ELSE atoms_ || CASE WHEN q = 0 THEN '' ELSE CASE WHEN q > 0 THEN '+' ELSE '-' END || CASE WHEN abs(q) > 1 THEN CAST(abs(q) AS VARCHAR) ELSE '' END END END AS formula, hydrogens
 FROM (SELECT g.id AS p_partkey, code, g.id IN (SELECT id FROM metal) AS excluded, atoms_, q, coalesce(hh, 0) AS hydrogens FROM gated g LEFT JOIN formulas USING (id) LEFT JOIN charges USING (id) LEFT JOIN (SELECT id, CAST(sum(h) AS INTEGER) AS hh FROM filled GROUP BY 1) USING (id))""")
 def q_valence_gate(spark, d):

@@ -7,7 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sieveline.functions import graph as G
 from sieveline.functions.text import strip
+from sieveline.sources.encoding import decode_lines
 
 #: Delimiters in order, header names, sample size, least share of parseable cells.
 DELIMITERS = (",", "\t", ";", "|")
@@ -106,11 +108,30 @@ def from_text(spark: SparkSession, text: str) -> DataFrame:
     return from_lines(spark.createDataFrame(list(enumerate(text.splitlines())), "at long, value string"))
 
 
-def from_path(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
-    """Text files in the order of their names, then of position. Spark packs parts of files into partitions by size; a line's place within a part only grows with ``monotonically_increasing_id``, and the file and the part's start come before it."""
-    raw = spark.read.option("encoding", encoding).text(path)
-    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
-    return from_lines(raw.select(place.alias("at"), F.regexp_replace("value", r"^\ufeff", "").alias("value")))
+def from_path(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
+    """Text files in the order of their names, then of position; each by the encoding given, else by the first that all of its lines allow.
+
+    Spark packs parts of files into partitions by size; a line's place within a part only
+    grows with ``monotonically_increasing_id``, and the file and the part's start come before it.
+    """
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line")).alias("at")
+    if encoding is not None:
+        raw = spark.read.option("encoding", encoding).text(path)
+        return from_lines(raw.select(place, F.regexp_replace("value", r"^\ufeff", "").alias("value")))
+    raw = spark.read.text(path).select(place, F.col("value").cast("binary").alias("raw"))
+    return from_lines(decode_lines(raw.withColumn("file", F.col("at.file")), "file").select("at", "value"))
+
+
+def preview(rows: DataFrame, head: int = 5) -> DataFrame:
+    """total, n_invalid, head (the first rows: seq, input_id, raw_smiles): one row. ``invalid`` lists what doesn't parse."""
+    n = rows.agg(F.count("*").alias("total"), F.count_if(G.parse(F.col("raw_smiles"))["code"].isNotNull()).alias("n_invalid"))
+    first = rows.orderBy("seq").limit(head).agg(F.array_sort(F.collect_list(F.struct("seq", "input_id", "raw_smiles"))).alias("head"))
+    return n.crossJoin(first)
+
+
+def invalid(rows: DataFrame) -> DataFrame:
+    """seq, input_id, raw_smiles, code: the rows whose structure doesn't parse, as a table (it grows with the input)."""
+    return rows.withColumn("code", G.parse(F.col("raw_smiles"))["code"]).where("code is not null").select("seq", "input_id", "raw_smiles", "code")
 
 
 def lines_of(texts: DataFrame, input_: str, text: str) -> DataFrame:
