@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sieveline.functions import graph as G
 from sieveline.functions.structure import WEIGHTS
-from sieveline.operators import structures
+from sieveline.operators import export, structures
 from sieveline.plans import catalogue
 from sieveline.plans.catalogue import table
 from sieveline.sources import ingest
@@ -208,3 +208,37 @@ FROM judged j LEFT JOIN charges a ON a.id = 2 * j.id LEFT JOIN charges b ON b.id
 @query(_RECORDS)
 def q_structure_records(spark, d):
     return structure_records(spark, d).select("input_id", "status", "rejection_code", "rejection_stage", "curated_smiles", "removed_fragments", "delta_net_charge", "delta_formula", "parent_mw", F.col("parent_heavy_atoms").cast("double").alias("parent_heavy_atoms"), "excluded_flag", "n_components_parent")
+
+
+#: A policy with hooks at every place: salts of acids written as acids, one isotope refused, bromides at the end taken for chlorides, long structures reported.
+_LONG, _SALT, _ACID, _REFUSED = 12, "C(=O)[O-].[Na+]", "C(=O)O", "[13CH2]"
+HOOKS = structures.Hooks(
+    standardize=lambda s: F.when(~s.contains(_REFUSED), F.replace(s, F.lit(_SALT), F.lit(_ACID))),
+    parent_transform=lambda s: F.when(s.endswith("Br"), F.concat(F.left(s, F.length(s) - 2), F.lit("Cl"))),
+    probes=(structures.Probe("long_structure", lambda before, after, stage: F.when(F.size(after["graph"]["atoms"]) > _LONG, F.size(after["graph"]["atoms"]).cast("string"))),),
+)
+
+
+def _hooked_sql() -> str:
+    """The SQL of records with standardized structures for given ones, and parents as the hook rewrites them."""
+    head, _, tail = _RECORDS.partition("SELECT CAST(j.id AS VARCHAR) AS input_id")
+    changed = "regexp_replace(array_to_string(stay, '.'), 'Br$', 'Cl')"
+    head = head.replace(smiles_sql(), f"replace({smiles_sql()}, '{_SALT}', '{_ACID}')").replace("array_to_string(stay, '.')", changed)
+    malformed = "given_code IN ('ERR_EMPTY', 'ERR_SYNTAX')"
+    head = head.replace("CASE WHEN given_code IS NOT NULL", f"CASE WHEN {malformed} THEN given_code WHEN NOT excluded AND contains(smiles, '{_REFUSED}') THEN 'ERR_STANDARDIZE' WHEN given_code IS NOT NULL")
+    long = lambda i: f"CASE WHEN (SELECT count(*) FROM atoms WHERE atoms.id = {i}) > {_LONG} THEN 1 ELSE 0 END"
+    return head + f"""SELECT 'P' || j.id AS input_id, CASE WHEN code IS NULL THEN 'PASSED' ELSE 'REJECTED' END AS status, code AS rejection_code,
+  CASE WHEN code IN ('ERR_EMPTY', 'ERR_SYNTAX') THEN 'PARSE' WHEN code = 'ERR_STANDARDIZE' THEN 'STANDARDIZE' WHEN code = 'ERR_VALENCE' THEN 'VALENCE_GATE' WHEN code IS NOT NULL THEN 'ELIGIBILITY' END AS rejection_stage,
+  CASE WHEN code IS NULL THEN CASE WHEN excluded THEN smiles ELSE {changed} END END AS curated_smiles, CASE WHEN code IS NULL OR code LIKE '%LIMIT' THEN mw END AS parent_mw,
+  CASE WHEN coalesce({malformed} OR code = 'ERR_STANDARDIZE', FALSE) THEN 0 ELSE {long('2 * j.id')} + {long('j.pid')} END AS n_long FROM judged j"""
+
+
+@query(_hooked_sql())
+def q_hooked_records(spark, d):
+    r = structures.curate_structures(_rows(spark, d), structures.Limits(max_weight=300.0, max_heavy_atoms=20), HOOKS)
+    return r.select("input_id", "status", "rejection_code", "rejection_stage", "curated_smiles", "parent_mw", F.size(F.filter("transformations", lambda e: e["rule"] == "long_structure")).alias("n_long"))
+
+
+@query("SELECT input_id, status, rejection_code, coalesce(removed_fragments <> '', FALSE) AS salt_removed, delta_formula FROM (" + _RECORDS + ")")
+def q_export_columns(spark, d):
+    return export.export(structure_records(spark, d), ("input_id", "status", "rejection_code", "salt_removed", "delta_formula"))
