@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sieveline.functions.text import multiset_difference
+from sieveline.functions.text import let, multiset_difference
 
 TOKEN = r"\[[^\]]+\]|Br|Cl|[BCNOPSFI]|[bcnops]"
 #: Average atomic weights.
@@ -50,17 +50,25 @@ def parse_formula(formula: Column) -> Column:
     element = F.regexp_extract_all(plain, F.lit(r"([A-Z][a-z]?)(\d*)"), F.lit(1))
     number = F.regexp_extract_all(plain, F.lit(r"([A-Z][a-z]?)(\d*)"), F.lit(2))
     pairs = F.zip_with(element, number, lambda e, n: F.struct(e.alias("e"), F.when(n == "", 1).otherwise(F.when(n != "", n).otherwise("0").cast("int")).alias("n")))
-    total = lambda e: F.aggregate(F.filter(pairs, lambda p: p["e"] == e), F.lit(0), lambda a, p: a + p["n"])
-    keys = F.array_sort(F.array_distinct(element))
-    return F.map_from_arrays(keys, F.transform(keys, total))
+
+    def summed(all_):
+        total = lambda e: F.aggregate(F.filter(all_, lambda p: p["e"] == e), F.lit(0), lambda a, p: a + p["n"])
+        return let(F.sort_array(F.array_distinct(F.transform(all_, lambda p: p["e"]))), lambda keys: F.map_from_arrays(keys, F.transform(keys, total)))
+
+    return let(pairs, summed)
 
 
 def formula_delta(before: Column, after: Column) -> Column:
     """Changes by element, like ``+H1 -Na1``; empty if a side is empty or nothing changed."""
-    b, a = parse_formula(before), parse_formula(after)
-    keys = F.array_sort(F.array_union(F.map_keys(b), F.map_keys(a)))
-    d = lambda k: F.coalesce(F.element_at(a, k), F.lit(0)) - F.coalesce(F.element_at(b, k), F.lit(0))
-    text = F.transform(F.filter(keys, lambda k: d(k) != 0), lambda k: F.concat(F.when(d(k) > 0, "+").otherwise("-"), k, F.abs(d(k)).cast("string")))
+
+    def written(both):
+        b, a = both["b"], both["a"]
+        change = lambda k: F.struct(k.alias("k"), (F.coalesce(F.element_at(a, k), F.lit(0)) - F.coalesce(F.element_at(b, k), F.lit(0))).alias("d"))
+        changes = F.transform(F.sort_array(F.array_union(F.map_keys(b), F.map_keys(a))), change)
+        return F.transform(F.filter(changes, lambda c: c["d"] != 0), lambda c: F.concat(F.when(c["d"] > 0, "+").otherwise("-"), c["k"], F.abs(c["d"]).cast("string")))
+
+    # Each side is parsed once, not once for each element.
+    text = let(F.struct(parse_formula(before).alias("b"), parse_formula(after).alias("a")), written)
     return F.when((before == "") | (after == ""), "").otherwise(F.array_join(text, " "))
 
 

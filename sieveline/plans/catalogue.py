@@ -27,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows over all cores: a small file is one partition, and each of its keys becomes a formula's or a structure's work."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate.curate(table(spark, sf_dir, "documents"))
 
@@ -252,7 +257,7 @@ _VALUES = lambda items: "(VALUES " + ", ".join(f"({i}, '{x}')" for i, x in enume
 
 def _with(spark, d, items, name):
     fixture = spark.createDataFrame(list(enumerate(items)), f"k int, {name} string")  # ten rows
-    return table(spark, d, "part").select("p_partkey", "p_size", F.pmod("p_partkey", F.lit(len(items))).cast("int").alias("k")).join(F.broadcast(fixture), "k")
+    return dealt(table(spark, d, "part").select("p_partkey", "p_size", F.pmod("p_partkey", F.lit(len(items))).cast("int").alias("k"))).join(F.broadcast(fixture), "k")
 
 
 _PARSED = f"f(k, formula) AS {_VALUES(FORMULAS)}, x AS (SELECT k, formula, unnest(regexp_extract_all(regexp_extract(formula, '^[^+-]*'), '([A-Z][a-z]?)(\\d*)', 1)) AS e, unnest(regexp_extract_all(regexp_extract(formula, '^[^+-]*'), '([A-Z][a-z]?)(\\d*)', 2)) AS c FROM f), n AS (SELECT k, formula, e, CAST(sum(CASE WHEN c = '' THEN 1 ELSE CAST(c AS INTEGER) END) AS INTEGER) AS n FROM x GROUP BY 1, 2, 3)"
@@ -287,7 +292,7 @@ def q_eligibility(spark, d):
 def q_formula_delta(spark, d):
     n = len(FORMULAS)
     pairs = spark.createDataFrame([(i, FORMULAS[i], FORMULAS[(i + 1) % n]) for i in range(n)], "k int, before string, after string")
-    parts = table(spark, d, "part").select("p_partkey", F.pmod("p_partkey", F.lit(n)).cast("int").alias("k"))
+    parts = dealt(table(spark, d, "part").select("p_partkey", F.pmod("p_partkey", F.lit(n)).cast("int").alias("k")))
     return parts.join(F.broadcast(pairs), "k").select("p_partkey", S.formula_delta(F.col("before"), F.col("after")).alias("delta"))
 
 

@@ -186,3 +186,17 @@ def test_gold_standard_file(spark, tmp_path):
     gold.write_template(spark.createDataFrame([("a", "C"), ("b", "CC")], "input_id string, raw_smiles string"), str(tmp_path / "blank"))
     blank = gold.read(spark, str(tmp_path / "blank"))
     assert blank.count() == 2 and gold.errors(blank).count() == 2 and gold.entries(blank).count() == 0
+
+
+def test_rows_of_small_files_are_dealt(spark, tmp_path):
+    """A small file is one partition; what its rows cost isn't one task's work."""
+    spark.range(1, 60).selectExpr("id AS p_partkey", "int(id % 7) AS p_size", "'b' AS p_brand").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    for name in ("q_formula_delta", "q_formula_parse", "q_mw_ha_carbon"):
+        assert catalogue.QUERIES[name](spark, str(tmp_path)).rdd.getNumPartitions() > 1, name
+
+
+def test_a_formula_is_parsed_once_for_all_its_elements(spark):
+    d = spark.createDataFrame([("C9H8O4", "C2H6ONaClN5"), ("C2H6O", "C2H6O"), ("", "C"), ("CHCH", "C2H3+"), (None, "C")], "b string, a string").select(S.formula_delta(F.col("b"), F.col("a")).alias("d"))
+    assert [r["d"] for r in d.collect()] == ["-C7 +Cl1 -H2 +N5 +Na1 -O3", "", "", "+H1", None]
+    plan = d._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") <= 6
