@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Python's str.strip and str.split take these for white space; Spark's trim takes blanks only.
@@ -35,6 +35,11 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def held(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is worked out once for each row and where it stands: no filter on it is moved below (to before rows are dealt, say), nor is it copied into what refers to it."""
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
 def _numbered(members: Column) -> Column:
     """The members in order, each followed by its number among equal ones."""
 

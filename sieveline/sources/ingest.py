@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions import graph as G
-from sieveline.functions.text import strip
+from sieveline.functions.text import held, strip
 from sieveline.sources.encoding import decode_lines
 
 #: Delimiters in order, header names, sample size, least share of parseable cells.
@@ -131,7 +131,7 @@ def preview(rows: DataFrame, head: int = 5) -> DataFrame:
 
 def invalid(rows: DataFrame) -> DataFrame:
     """seq, input_id, raw_smiles, code: the rows whose structure doesn't parse, as a table (it grows with the input)."""
-    return rows.withColumn("code", G.parse(F.col("raw_smiles"))["code"]).where("code is not null").select("seq", "input_id", "raw_smiles", "code")
+    return held(rows, "code", G.parse(F.col("raw_smiles"))["code"]).where("code is not null").select("seq", "input_id", "raw_smiles", "code")
 
 
 def lines_of(texts: DataFrame, input_: str, text: str) -> DataFrame:

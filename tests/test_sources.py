@@ -158,3 +158,12 @@ def test_edges_are_those_that_records_took(spark):
     r = spark.createDataFrame([(s, g) for s, g, n in rows for _ in range(n)], "status string, rejection_stage string")
     got = {(e["source"], e["target"]): e["n"] for e in report.flow_edges(r).collect()}
     assert got == {("PARSE", "STANDARDIZE"): 5, ("STANDARDIZE", "GET_PARENT"): 5, ("GET_PARENT", "VALENCE_GATE"): 5, ("VALENCE_GATE", "ELIGIBILITY"): 5, ("ELIGIBILITY", "CANONICALIZE"): 3, ("CANONICALIZE", "DEDUPLICATION"): 3}
+
+
+def test_invalid_rows_are_told_where_rows_were_dealt(spark):
+    """The filter on the code isn't moved to before the rows are dealt: there, one task would parse them all."""
+    rows = spark.createDataFrame([(1, "a", "CCO"), (2, "b", "C(C"), (3, "c", None)], "seq long, input_id string, raw_smiles string").repartition(4)
+    bad = ingest.invalid(rows)
+    assert {(r["seq"], r["code"]) for r in bad.collect()} == {(2, "ERR_SYNTAX"), (3, "ERR_EMPTY")}
+    above, _, below = bad._jdf.queryExecution().optimizedPlan().toString().partition("Repartition")
+    assert "regexp_extract_all" in above and "regexp_extract_all" not in below
