@@ -176,7 +176,7 @@ def formula(graph: Column, valence: Column) -> Column:
     def written(all_):
         carbon = F.array_contains(all_, "C")
         order = lambda e: F.when(carbon & (e == "C"), "0").when(carbon & (e == "H"), "1").otherwise(F.concat(F.lit("2"), e))
-        keys = F.array_sort(F.transform(F.array_distinct(all_), lambda e: F.struct(order(e).alias("k"), e.alias("e"))))
+        keys = F.sort_array(F.transform(F.array_distinct(all_), lambda e: F.struct(order(e).alias("k"), e.alias("e"))))
         one = lambda k: let(F.size(F.filter(all_, lambda e: e == k["e"])), lambda n: F.concat(k["e"], F.when(n > 1, n.cast("string")).otherwise("")))
         return F.array_join(F.transform(keys, one), "")
 
@@ -195,7 +195,7 @@ def weight(graph: Column, valence: Column) -> Column:
 def neighbours(graph: Column) -> Column:
     """For each atom its neighbours in written order: struct(p, to, o)."""
     both = F.flatten(F.transform(graph["bonds"], lambda b: F.array(F.struct(b["a"].alias("at"), b["pa"].alias("p"), b["b"].alias("to"), b["o"].alias("o")), F.struct(b["b"].alias("at"), b["pb"].alias("p"), b["a"].alias("to"), b["o"].alias("o")))))
-    return let(both, lambda all_: F.transform(graph["atoms"], lambda _, i: F.array_sort(F.transform(F.filter(all_, lambda e: e["at"] == i), lambda e: F.struct(e["p"].alias("p"), e["to"].alias("to"), e["o"].alias("o"))))))
+    return let(both, lambda all_: F.transform(graph["atoms"], lambda _, i: F.sort_array(F.transform(F.filter(all_, lambda e: e["at"] == i), lambda e: F.struct(e["p"].alias("p"), e["to"].alias("to"), e["o"].alias("o"))))))
 
 
 def components(graph: Column) -> Column:
@@ -260,7 +260,7 @@ def matches(graph: Column, pattern: Pattern) -> Column:
                 return F.flatten(F.transform(done, extend))
 
             found = step(found)
-        return F.array_distinct(F.transform(found, lambda m: F.array_sort(m)))
+        return F.array_distinct(F.transform(found, lambda m: F.sort_array(m)))
 
     return let(adjacent, grown)
 
@@ -274,7 +274,7 @@ def _refined(colours: Column, near: Column) -> Column:
 
     def once(c):
         met = lambda e: F.xxhash64(F.get(c, e["to"]), e["o"])
-        return F.transform(c, lambda own, i: F.xxhash64(own, F.array_sort(F.transform(F.get(near, i), met))))
+        return F.transform(c, lambda own, i: F.xxhash64(own, F.sort_array(F.transform(F.get(near, i), met))))
 
     def step(s, _):
         return F.when(s["done"], s).otherwise(let(once(s["c"]), lambda c: let(F.size(F.array_distinct(c)), lambda n: F.struct(F.when(n > s["n"], c).otherwise(s["c"]).alias("c"), F.greatest(n, s["n"]).alias("n"), (n <= s["n"]).alias("done")))))
@@ -307,7 +307,7 @@ def ranks(graph: Column, valence: Column) -> Column:
             return F.when(F.size(F.array_distinct(c)) == F.size(c), c).otherwise(let(shared(), lambda x: _refined(apart(x), near)))
 
         single = F.aggregate(F.sequence(F.lit(0), F.size(classes)), classes, step)
-        place = lambda c: F.array_sort(F.transform(c, lambda x, i: F.struct(F.get(skeleton, i).alias("s"), F.get(classes, i).alias("k"), x.alias("x"))))
+        place = lambda c: F.sort_array(F.transform(c, lambda x, i: F.struct(F.get(skeleton, i).alias("s"), F.get(classes, i).alias("k"), x.alias("x"))))
         ranked = lambda c: let(place(c), lambda order: F.transform(c, lambda x, i: F.array_position(order, F.struct(F.get(skeleton, i).alias("s"), F.get(classes, i).alias("k"), x.alias("x"))).cast("int")))
         return F.struct(classes.alias("classes"), let(single, ranked).alias("rank"))
 
@@ -325,10 +325,10 @@ def listing(graph: Column, valence: Column) -> Column:
 
     def written(r, near):
         rank, classes = r["rank"], r["classes"]
-        in_order = lambda f: F.array_join(F.transform(F.array_sort(F.transform(graph["atoms"], lambda a, i: F.struct(F.get(rank, i).alias("r"), f(a, i).alias("t")))), lambda x: x["t"]), ",")
+        in_order = lambda f: F.array_join(F.transform(F.sort_array(F.transform(graph["atoms"], lambda a, i: F.struct(F.get(rank, i).alias("r"), f(a, i).alias("t")))), lambda x: x["t"]), ",")
         ends = lambda b: (F.least(F.get(rank, b["a"]), F.get(rank, b["b"])), F.greatest(F.get(rank, b["a"]), F.get(rank, b["b"])))
         pair = lambda b: F.struct(ends(b)[0].alias("x"), ends(b)[1].alias("y"), b["o"].alias("o"))
-        bonds = F.array_join(F.transform(F.array_sort(F.transform(graph["bonds"], pair)), lambda p: F.concat(p["x"].cast("string"), p["o"], p["y"].cast("string"))), ",")
+        bonds = F.array_join(F.transform(F.sort_array(F.transform(graph["bonds"], pair)), lambda p: F.concat(p["x"].cast("string"), p["o"], p["y"].cast("string"))), ",")
         skeleton = F.concat_ws("/", in_order(lambda a, i: a["element"]), bonds)
         label = lambda a, i: F.concat(F.lit("H"), F.get(valence, i)["hydrogens"].cast("string"), F.format_string("%+d", a["charge"]))
 
@@ -341,7 +341,7 @@ def listing(graph: Column, valence: Column) -> Column:
                 distinct = F.size(F.array_distinct(F.transform(order, lambda x: x["k"]))) == F.size(order)
                 return F.when(distinct & (F.size(order) >= 3), F.when((turns + F.length(a["chiral"])) % 2 == 1, "L").otherwise("R")).otherwise("")
 
-            return F.when(a["chiral"] == "", "").otherwise(let(F.array_sort(seen), sign))
+            return F.when(a["chiral"] == "", "").otherwise(let(F.sort_array(seen), sign))
 
         mark = lambda a, i: F.concat(F.when(a["isotope"] > 0, a["isotope"].cast("string")).otherwise(""), parity(a, i))
         return F.struct(skeleton.alias("skeleton"), in_order(label).alias("labels"), in_order(mark).alias("marks"))

@@ -4,7 +4,8 @@ PARSE rejects blank and malformed strings, never on valence. GET_PARENT strips i
 listed counterions and solvents unless nothing else is there, and writes identical components
 once; structures with other metals are excluded from that and kept as they are. VALENCE_GATE
 judges the parent unless it is excluded. ELIGIBILITY measures it. CANONICALIZE gives the key.
-A narrow plan: no shuffle, no Python; a parent is parsed anew only where it differs.
+No Python; a parent is parsed anew only where it differs. Structures that are written alike are
+worked out once: rows are shuffled by what is written, twice (but on streams, which stay narrow).
 """
 
 from __future__ import annotations
@@ -22,6 +23,12 @@ from sieveline.functions.text import strip
 #: Components that a parent is freed of.
 LISTED = ("Cl", "[Cl-]", "Br", "[Br-]", "I", "[I-]", "F", "[F-]", "[Li+]", "[Na+]", "[K+]", "[Mg+2]", "[Ca+2]", "O", "[OH-]", "N", "[NH4+]", "CO", "CCO", "CC(C)=O", "ClCCl", "CS(C)=O", "C1CCOC1", "OC(=O)C(F)(F)F", "OS(=O)(=O)O")
 
+#: The columns of a record, in order.
+RECORD = (
+    "seq", "input_id", "raw_smiles", "curated_smiles", "identity", "block1", "status", "rejection_code", "rejection_stage", "rejection_detail", "transformations", "removed_fragments", "delta_net_charge",
+    "delta_stereocenters", "n_stereocenters_total", "n_components_parent", "delta_formula", "parent_mw", "parent_heavy_atoms", "excluded_flag", "annotation",
+)
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -60,6 +67,13 @@ class Hooks:
     probes: tuple[Probe, ...] = ()
 
 
+def each_once(rows: DataFrame, written: str, *aggregates: Column) -> DataFrame:
+    """What is written in ``rows``, each once, with aggregates of its rows; dealt over all cores by hash, in a number of partitions that stays: a row of it is little to read and much to work out."""
+    spark = rows.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(n, written).groupBy(written).agg(F.count(F.lit(1)).alias("n_rows"), *aggregates)
+
+
 def parent(smiles: Column) -> Column:
     """The components that stay, sorted, dot-joined."""
     kept = S.keep_unless_all(S.fragments(S.strip_isotopes(smiles)), F.array(*map(F.lit, LISTED)))
@@ -71,9 +85,20 @@ def curate_structures(pairs: DataFrame, limits: Limits = Limits(), hooks: Hooks
 
     ``hooks`` are a policy's own steps; probes run before ``parent_transform``, deltas after it.
     Null and blank structures are rejected as empty; repeated rows are records of their own; extra columns are dropped.
+    Functions of ``hooks`` must give the same for the same structure.
     """
     ann = F.col("annotation").cast("string") if "annotation" in pairs.columns else F.lit(None).cast("string")
-    d = pairs.select("seq", "input_id", F.coalesce("raw_smiles", F.lit("")).alias("raw_smiles"), ann.alias("annotation")).withColumn("plain", strip(F.col("raw_smiles")))
+    rows = pairs.select("seq", "input_id", F.coalesce("raw_smiles", F.lit("")).alias("raw_smiles"), ann.alias("annotation"))
+    if pairs.isStreaming:
+        return _worked_out(rows, limits, hooks).select(*RECORD)
+    known = _worked_out(each_once(rows, "raw_smiles").select("raw_smiles"), limits, hooks)
+    return rows.join(known, "raw_smiles").select(*RECORD)
+
+
+def _worked_out(rows: DataFrame, limits: Limits, hooks: Hooks) -> DataFrame:
+    """``rows`` with the columns of a record that follow from ``raw_smiles``."""
+    given = rows.columns
+    d = rows.withColumn("plain", strip(F.col("raw_smiles")))
     d = d.withColumn("given", G.parse(F.col("plain")))
     d = d.withColumn("excluded_flag", F.col("given.code").isNull() & G.excluded(F.col("given")))
     # Of malformed and excluded structures nothing is changed.
@@ -128,12 +153,12 @@ def curate_structures(pairs: DataFrame, limits: Limits = Limits(), hooks: Hooks
     measured = F.col("rejection.stage").isNull() | (F.col("rejection.stage") == "ELIGIBILITY")
     d = d.withColumns({"identity": identity, "transformations": events})
     return d.select(
-        "seq", "input_id", "raw_smiles", F.when(passed, F.col("final_smiles")).alias("curated_smiles"), "identity", F.split("identity", "-")[0].alias("block1"),
+        *given, F.when(passed, F.col("final_smiles")).alias("curated_smiles"), "identity", F.split("identity", "-")[0].alias("block1"),
         F.when(passed, "PASSED").otherwise("REJECTED").alias("status"), F.col("rejection.code").alias("rejection_code"), F.col("rejection.stage").alias("rejection_stage"), F.col("rejection.detail").alias("rejection_detail"),
         "transformations", F.when(passed & ~F.col("excluded_flag"), S.removed_fragments(S.strip_isotopes(F.col("std_smiles")), F.col("parent_smiles"))).alias("removed_fragments"),
         only(F.col("after.charge") - F.col("before.charge"), 0).alias("delta_net_charge"), only(F.col("after.stereo") - F.col("before.stereo"), 0).alias("delta_stereocenters"), only(F.col("after.stereo"), 0).alias("n_stereocenters_total"),
         only(F.size(F.split("final_smiles", r"\.")), 0).alias("n_components_parent"), only(S.formula_delta(F.col("given_formula"), F.col("parent_formula")), "").alias("delta_formula"),
-        F.when(measured, F.col("mw")).alias("parent_mw"), F.when(measured, F.col("heavy")).alias("parent_heavy_atoms"), (passed & F.col("excluded_flag")).alias("excluded_flag"), "annotation",
+        F.when(measured, F.col("mw")).alias("parent_mw"), F.when(measured, F.col("heavy")).alias("parent_heavy_atoms"), (passed & F.col("excluded_flag")).alias("excluded_flag"),
     )
 
 

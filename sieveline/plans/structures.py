@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions import graph as G
 from sieveline.functions.structure import WEIGHTS
+from sieveline.functions.text import held
 from sieveline.operators import export, structures
 from sieveline.plans import catalogue
 from sieveline.plans.catalogue import table
@@ -171,11 +172,15 @@ _COLOURS = "c0 AS (SELECT id, n, md5(element || '/' || charge || '/' || h || '/'
 
 @query(graph_sql(_BOTH) + VALENCE_SQL + f", {_COLOURS}, keys AS (SELECT id, string_agg(c, ',' ORDER BY c) AS k FROM c{_ROUNDS} GROUP BY 1) SELECT m.id // 2 AS p_partkey, CAST(m.id % 2 AS INTEGER) AS writing, min(m.id // 2) OVER (PARTITION BY coalesce(k, CAST(m.id AS VARCHAR))) AS class_id FROM made m LEFT JOIN keys USING (id) WHERE k IS NOT NULL")
 def q_canonical_class(spark, d):
-    both = [structured(spark, d, way).select("p_partkey", F.lit(way).alias("writing"), G.listing(F.col("g"), F.col("v")).alias("l"), F.transform("g.atoms", lambda a: a["isotope"]).alias("isotopes"), "g.code") for way in (0, 1)]
+    key, size = F.col("p_partkey"), table(spark, d, "part").select("p_partkey", "p_size")
+    both = size.select(key, F.posexplode(F.array(*(F.expr(smiles_sql(way)) for way in (0, 1)))).alias("writing", "smiles"))
+    # A listing is dear: each spelling's is worked out once, and classes are told by spellings, not by rows.
+    spelled = held(structures.each_once(both, "smiles", F.min("p_partkey").alias("least")), "g", G.parse(F.col("smiles"))).where("g.code is null")
+    listed = spelled.withColumn("v", G.valences(F.col("g"))).select("smiles", "least", G.listing(F.col("g"), F.col("v")).alias("l"))
     # Chiral marks are left out: backwards, some parts are written without.
-    known = both[0].unionByName(both[1]).where("code is null").select("p_partkey", "writing", F.md5(F.concat_ws("|", "l.skeleton", "l.labels", F.regexp_replace("l.marks", "[LR]", ""))).alias("key"))
-    least = known.groupBy("key").agg(F.min("p_partkey").alias("class_id"))
-    return known.join(least, "key").select("p_partkey", "writing", "class_id")
+    known = listed.select("smiles", "least", F.md5(F.concat_ws("|", "l.skeleton", "l.labels", F.regexp_replace("l.marks", "[LR]", ""))).alias("key"))
+    classes = known.select("smiles", F.min("least").over(Window.partitionBy("key")).alias("class_id"))
+    return both.join(classes, "smiles").select("p_partkey", "writing", "class_id")
 
 
 def structure_records(spark, d) -> DataFrame:

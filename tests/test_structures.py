@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sieveline.functions import graph as G
 from sieveline.operators import dedup, report, structures
+from sieveline.plans import structures as plans
 
 
 def evaluated(spark, cases, **columns):
@@ -138,3 +139,14 @@ def test_records_of_structures(spark, tmp_path):
     assert {r["stage"]: r["n_excluded"] for r in report.funnel(records).collect() if r["n_excluded"]} == {"PARSE": 2, "VALENCE_GATE": 1, "ELIGIBILITY": 1}
     strict = structures.curate_structures(df.where("input_id in ('h', 'g', 'm')"), structures.Limits(discard_excluded=True, require_carbon=True))
     assert {r["input_id"]: r["rejection_code"] for r in strict.collect()} == {"h": "ERR_ORGANOMETALLIC", "g": "ERR_NO_CARBON", "m": "ERR_ORGANOMETALLIC"}
+
+
+def test_structures_written_alike_are_worked_out_once(spark, tmp_path):
+    """Parsing and listing stand above the dealing and a group by what is written; repeated rows are records of their own."""
+    spark.range(1, 60).selectExpr("id AS p_partkey", "int(id % 7) AS p_size", "'b' AS p_brand").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    rows = spark.createDataFrame([(1, "a", "CCO"), (2, "b", "CCO"), (3, "c", None), (4, "d", ""), (4, "d", "")], "seq long, input_id string, raw_smiles string")
+    records = structures.curate_structures(rows)
+    assert sorted((r["seq"], r["input_id"], r["raw_smiles"], r["rejection_code"]) for r in records.collect()) == [(1, "a", "CCO", None), (2, "b", "CCO", None), (3, "c", "", "ERR_EMPTY"), (4, "d", "", "ERR_EMPTY"), (4, "d", "", "ERR_EMPTY")]
+    for made in (records, plans.q_canonical_class(spark, str(tmp_path))):
+        above, found, below = made._jdf.queryExecution().optimizedPlan().toString().partition("Aggregate [")
+        assert found and "regexp_extract_all" in above and "regexp_extract_all" not in below
