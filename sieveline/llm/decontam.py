@@ -2,10 +2,10 @@
 
 1. Document frequencies of hashed words over all documents (a fixed-size histogram
    per task, summed).
-2. A randomised SVD of TF-IDF passages: every benchmark item, and passages of a
-   bounded sample of documents (``fit_docs``, by a hash of the id) as background.
-   Each task adds up its passages' part of ``A'A Omega``; the sums meet in one small
-   matrix, which is orthogonalised, and the Rayleigh-Ritz step rotates it.
+2. A randomised SVD of TF-IDF passages: every benchmark item, and every ``PASSAGE``
+   words of all documents. Rounds over the items alone choose where to begin; in one
+   round over everything each task adds up its passages' part of ``A'A Omega``. The sums
+   meet in one small matrix, whose singular vectors are taken.
 3. Every whole document is cut into overlapping windows (16, 32 or 64 words, by the
    length of the items), each is folded into the latent space, and windows with a
    cosine of ``min_cosine`` or more to an item are candidates. Whatever its cosine, a
@@ -39,6 +39,8 @@ from sieveline.llm import textscan
 FEATURES, RANK, STRIDE, SCALES = 1 << 14, 48, 8, (16, 32, 64)
 #: Share of an item's words, the rarest, that are counted; items that are counted at once.
 COUNTED, AT_ONCE = 0.6, 256
+#: Words of a document's passage, passages whose words become one small dense matrix.
+PASSAGE, TOGETHER = 64, 32
 
 
 def _features(h: np.ndarray) -> np.ndarray:
@@ -80,66 +82,70 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     return np.log((n + 1) / (seen.ravel() + 0.5)).astype(np.float32)
 
 
-def _rows(w, f: np.ndarray, size: int, stride: int) -> list[np.ndarray]:
-    """Windows as word index ranges: (first, behind the last), document by document."""
-    out = []
-    for d in range(len(w.first) - 1):
-        a, b = int(w.first[d]), int(w.first[d + 1])
-        out += [(i, min(i + size, b)) for i in range(a, max(a + 1, b - size + stride), stride)] if b > a else []
+def _gram_times(f: np.ndarray, passage: np.ndarray, idf: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Sum over unit-length TF-IDF passages a of a'(a m); ``passage`` numbers the passages word by word, in order."""
+    out = np.zeros(m.shape)
+    bounds = np.searchsorted(passage, np.arange(0, (int(passage[-1]) if len(passage) else -1) + TOGETHER + 1, TOGETHER))
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        if a == b:
+            continue
+        used, column = np.unique(f[a:b], return_inverse=True)
+        at = passage[a:b] - passage[a]
+        n = int(at[-1]) + 1
+        v = np.bincount(at * len(used) + column, minlength=n * len(used)).reshape(n, -1) * idf[used]
+        v = (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)).astype(m.dtype)
+        out[used] += v.T @ (v @ m[used])
     return out
 
 
-def _gram_times(f: np.ndarray, spans: list, idf: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Sum over unit-length TF-IDF passages a of a'(a m)."""
-    out = np.zeros(m.shape)
-    for a, b in spans:
-        at, count = np.unique(f[a:b], return_counts=True)
-        v = count * idf[at]
-        v = v / max(np.linalg.norm(v), 1e-9)
-        out[at] += v[:, None] * (v @ m[at])
-    return out
+def _passages(w) -> np.ndarray:
+    """For each word the number of its passage; no passage crosses a document's end."""
+    n = np.diff(w.first)
+    count = -(-n // PASSAGE)
+    return (np.cumsum(count) - count)[w.doc] + (np.arange(len(w.doc)) - w.first[:-1][w.doc]) // PASSAGE
+
+
+def _rotated(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Left singular vectors and singular values of a tall matrix, from its small Gram matrix."""
+    square, turn = np.linalg.eigh(y.T @ y)
+    s = np.sqrt(np.maximum(square[::-1], 1e-18))
+    return y @ (turn[:, ::-1] / s), s
 
 
-def basis(docs: DataFrame, items: list[str], idf: np.ndarray, fit_docs: int, rank: int = RANK, rounds: int = 2) -> np.ndarray:
-    """FEATURES x rank: the leading right singular vectors of the passages over their singular values."""
+def basis(docs: DataFrame, items: list[str], idf: np.ndarray, rank: int = RANK, rounds: int = 2) -> np.ndarray:
+    """FEATURES x rank: the leading right singular vectors of all passages of all documents and items over their singular values."""
     rng = np.random.default_rng(7)
     raw = [t.encode() for t in items]
     data, at = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
     w = textscan.words(data, at)
-    f = _features(textscan.Rolling(data)(w.start, w.end))
-    own = [(int(w.first[d]), int(w.first[d + 1])) for d in range(len(items))]
-    known = docs.select("doc_id", "text").where("text is not null")
-    chosen = known.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit("basis")), "doc_id").limit(fit_docs).distinct()
-    # At most fit_docs ids: a proven bound for the broadcast.
-    sample = known.join(F.broadcast(chosen), "doc_id", "left_semi").select("text")
-    spark, q = docs.sparkSession, rng.standard_normal((FEATURES, rank + 8))
-    q[idf <= 0] = 0
+    own = _features(textscan.Rolling(data)(w.start, w.end))
+    start = rng.standard_normal((FEATURES, rank + 8))
+    start[idf <= 0] = 0
+    q = start
     for _ in range(rounds):
-        held = spark.sparkContext.broadcast((q.astype(np.float32), idf))
-
-        def part(batches, held=held):
-            m, idf = held.value
-            total = None
-            for _, data, at in textscan.blocks(batches):
-                w = textscan.words(data, at)
-                f = _features(textscan.Rolling(data)(w.start, w.end))
-                y = _gram_times(f, _rows(w, f, 64, 256), idf, m)
-                total = y if total is None else total + y
-            if total is not None:
-                for k, rows in enumerate(np.array_split(total.astype(np.float32), 16)):
-                    yield pd_batch({"part": np.array([k])}, "y", [rows.tobytes()])
-
-        def meet(key, table):
-            return pa.table({"part": [key[0].as_py()], "y": [sum(np.frombuffer(x, np.float32).astype(np.float64) for x in table.column("y").to_pylist()).astype(np.float32).tobytes()]})
-
-        y = _gram_times(f, own, idf, q)
-        for r in sample.mapInArrow(part, "part long, y binary").groupBy("part").applyInArrow(meet, "part long, y binary").collect():
-            size = FEATURES // 16
-            y[r["part"] * size : (r["part"] + 1) * size] += np.frombuffer(r["y"], np.float32).reshape(size, -1)
-        # The singular vectors of a tall matrix, from its small Gram matrix.
-        square, turn = np.linalg.eigh(y.T @ y)
-        s = np.sqrt(np.maximum(square[::-1], 1e-18))
-        q = y @ (turn[:, ::-1] / s)
+        # Items may be fewer than the rank: what they don't span stays random.
+        q = _rotated(_gram_times(own, w.doc, idf, q) + start * 1e-3)[0]
+    held = docs.sparkSession.sparkContext.broadcast((q.astype(np.float32), idf))
+
+    def part(batches):
+        m, idf = held.value
+        total = None
+        for _, data, at in textscan.blocks(batches):
+            w = textscan.words(data, at)
+            y = _gram_times(_features(textscan.Rolling(data)(w.start, w.end)), _passages(w), idf, m)
+            total = y if total is None else total + y
+        if total is not None:
+            for k, rows in enumerate(np.array_split(total.astype(np.float32), 16)):
+                yield pd_batch({"part": np.array([k])}, "y", [rows.tobytes()])
+
+    def meet(key, table):
+        return pa.table({"part": [key[0].as_py()], "y": [sum(np.frombuffer(x, np.float32).astype(np.float64) for x in table.column("y").to_pylist()).astype(np.float32).tobytes()]})
+
+    y = _gram_times(own, w.doc, idf, q)
+    for r in docs.select("text").mapInArrow(part, "part long, y binary").groupBy("part").applyInArrow(meet, "part long, y binary").collect():
+        size = FEATURES // 16
+        y[r["part"] * size : (r["part"] + 1) * size] += np.frombuffer(r["y"], np.float32).reshape(size, -1)
+    q, s = _rotated(y)
     # A'A has the squares; folding in divides by the singular values, so that what all texts of a language share doesn't drown the rest.
     return np.ascontiguousarray(q[:, :rank] / np.sqrt(np.maximum(s[:rank], 1e-9)), np.float32)
 
@@ -314,7 +320,7 @@ def search(index: Index, data: np.ndarray, at: np.ndarray, min_cosine: float, mi
     return [(d, i, s[1], s[0], -s[2], s[3]) for (d, i), s in sorted(best.items())]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, min_cosine: float = 0.6, min_lcs: float = 0.8, min_paraphrase: float = 0.6, fit_docs: int = 1000, min_words: int = 8, answer_words: int = 3) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, min_cosine: float = 0.6, min_lcs: float = 0.8, min_paraphrase: float = 0.6, min_words: int = 8, answer_words: int = 3) -> DataFrame:
     """doc_id, item_id, cosine, lcs_share, first_word, answered: a row for each document and item that it holds.
 
     ``benchmark``: item_id, text and, if there is one, answer; the driver and the executors hold it whole.
@@ -326,7 +332,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_cosine: float = 0.6, m
     if not items:
         return spark.createDataFrame([], schema)
     idf = inverse_frequencies(docs)
-    vectors = basis(docs, [r["text"] for r in items], idf, fit_docs)
+    vectors = basis(docs, [r["text"] for r in items], idf)
     index = Index([r["item_id"] for r in items], [r["text"] for r in items], [r["answer"] for r in items], idf, vectors, min_words, answer_words)
     # FEATURES x RANK numbers and the benchmark, whatever the corpus.
     held = spark.sparkContext.broadcast(index)

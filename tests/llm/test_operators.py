@@ -319,3 +319,18 @@ def test_word_hashes_agree():
 def test_is_native(spark):
     plan = lines.dedup_lines(spark.range(1).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text")))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_leaks_basis_is_fitted_on_all_words_of_all_documents(spark):
+    """Words that stand once, behind the first 64 of a document, in more documents than a sample would take."""
+    own = [f"only{i}x" for i in range(1200)]
+    docs = spark.createDataFrame([(i, f"{prose(i % 40, 100)} {x}") for i, x in enumerate(own)], "doc_id long, text string")
+    vectors = decontam.basis(docs, [prose(3, 40)], decontam.inverse_frequencies(docs))
+    at = decontam._features(textscan.hash_words(own))
+    words = {int(f) for i in range(40) for f in decontam._features(textscan.hash_words(prose(i, 100).split()))}
+    seen = [f for f in at if int(f) not in words]
+    # Where no document has a word stands what begins the search, far less.
+    assert len(seen) > 500 and (np.abs(vectors[seen]).max(axis=1) > 0).all()
+    assert vectors.shape == (decontam.FEATURES, decontam.RANK) and np.isfinite(vectors).all()
+    empty = np.setdiff1d(np.arange(decontam.FEATURES), [*at, *words])
+    assert np.abs(vectors[empty]).max() == 0
