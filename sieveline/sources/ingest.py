@@ -32,7 +32,9 @@ def parses(col: Column) -> Column:
     open_ = F.aggregate(turns, F.lit(0), lambda n, t: F.when(n + t >= 0, n + t))
     labels = F.regexp_extract_all(body, F.lit(r"%\d\d|\d"), F.lit(0))
     paired = F.forall(F.array_distinct(labels), lambda x: F.size(F.filter(labels, lambda y: y == x)) % 2 == 0)
-    return F.coalesce(body.rlike(r"^(?=[A-Za-z*])(?:Br|Cl|[BCNOPSFIbcnops*]|[-=#$:/\\.()]|%\d\d|\d)+$") & (open_ == 0) & paired, F.lit(False))
+    # The test of the letters comes first, on what is given: few cells need the others. A bracket counts as C, so that an l may follow.
+    letters = col.rlike(r"^(?=[A-Za-z*\[])(?:\[[^\[\]]+\]l?|Br|Cl|[BCNOPSFIbcnops*]|[-=#$:/\\.()]|%\d\d|\d)+$")
+    return F.coalesce(letters & (open_ == 0) & paired, F.lit(False))
 
 
 @dataclass(frozen=True)
@@ -144,7 +146,7 @@ def layouts(lines: DataFrame) -> DataFrame:
     """input, delimiter, header, structure, id: the layout of each input of ``lines`` (input, at, value), all inputs at once.
 
     Two grouped aggregates over the first ``SAMPLE`` lines of each: how steady each
-    delimiter stands, then what stands in each column. ``delimiter`` is null for white
+    delimiter stands, then what stands in each column (numbers of each line, no texts). ``delimiter`` is null for white
     space and ``id`` where ids are to be made up. An input without lines has no layout.
     """
     sample = lines.where(F.col("at") < SAMPLE)
@@ -152,12 +154,28 @@ def layouts(lines: DataFrame) -> DataFrame:
     steady = sample.select("input", mark.alias("m")).groupBy("input", "m.d", "m.rank").agg(F.min("m.n").alias("n"), F.max("m.n").alias("most"))
     best = F.min(F.when((F.col("n") == F.col("most")) & (F.col("n") > 0), F.struct((-F.col("n")).alias("n"), "rank", "d")))
     cut_at = steady.groupBy("input").agg(best["d"].alias("delimiter"))
-    cells = sample.join(cut_at, "input").select("input", "delimiter", (F.col("at") == 0).alias("top"), F.posexplode(split_cells("value", "delimiter")).alias("pos", "cell")).withColumn("ok", parses(F.col("cell")))
-    shape = cells.groupBy("input", "delimiter", "pos").agg(
-        F.max(F.when(F.col("top"), F.lower("cell"))).alias("name"), F.bool_or(F.col("top") & F.col("ok")).alias("top_ok"), F.bool_or("top").alias("in_top"), F.count_if("ok").alias("ok"), F.count("*").alias("n"),
+    # Cells stay in their line's row: of each line go on its number of cells, the places of structures and, of the first, names.
+    known = F.array(*map(F.lit, sorted(STRUCTURE_NAMES | ID_NAMES)))
+    # A number that grows with the name: odd for known ones, even between them.
+    code = lambda c: F.when(F.array_contains(known, c), 2 * F.array_position(known, c).cast("int") - 1).otherwise(2 * F.size(F.filter(known, lambda x: x < c)))
+    top, cells = F.col("at") == 0, F.col("cells")
+    line = F.struct(
+        top.alias("top"), F.size(cells).alias("n"), F.filter(F.transform(cells, lambda c, i: F.when(parses(c), i)), lambda i: i.isNotNull()).alias("ok"),
+        F.when(top, F.transform(cells, lambda c: code(F.lower(c)))).alias("codes"),
     )
+    seen = sample.join(cut_at, "input").select("input", "delimiter", "at", split_cells("value", "delimiter").alias("cells"))
+    held = seen.select("input", "delimiter", line.alias("line")).groupBy("input", "delimiter").agg(F.collect_list("line").alias("seen"))  # at most SAMPLE entries of a text
+
+    def column(p):
+        name = F.array_max(F.transform("seen", lambda x: F.get(x["codes"], p)))
+        has = lambda x: F.array_contains(x["ok"], p)
+        return F.struct(
+            p.alias("pos"), F.when(name % 2 == 1, F.get(known, ((name - 1) / 2).cast("int"))).alias("name"), F.exists("seen", lambda x: x["top"] & has(x)).alias("top_ok"),
+            F.exists("seen", lambda x: x["top"] & (x["n"] > p)).alias("in_top"), F.size(F.filter("seen", has)).alias("ok"), F.size(F.filter("seen", lambda x: x["n"] > p)).alias("n"),
+        )
+
     # As many entries as the sample's longest line has columns.
-    whole = shape.groupBy("input", "delimiter").agg(F.array_sort(F.collect_list(F.struct("pos", "name", "top_ok", "in_top", "ok", "n"))).alias("cols"))
+    whole = held.select("input", "delimiter", F.transform(F.sequence(F.lit(0), F.array_max(F.transform("seen", lambda x: x["n"])) - 1), column).alias("cols"))
     named = lambda kinds: lambda c: F.coalesce(c["name"].isin(*sorted(kinds)), F.lit(False))
     header = F.exists("cols", lambda c: c["n"] > 1) & (F.exists("cols", named(STRUCTURE_NAMES | ID_NAMES)) | ~F.exists("cols", lambda c: c["top_ok"]))
     whole = whole.withColumn("header", header)
@@ -176,7 +194,9 @@ def split_cells(value: str, delimiter: str) -> Column:
     """The cells of a line by its input's own delimiter; by white space where that is null."""
     d = F.col(delimiter)
     parts = [F.when(d == x, F.split(value, "\\Q" + x + "\\E")) for x in DELIMITERS]
-    return F.transform(F.coalesce(*parts, F.split(value, r"\s+")), strip)
+    # White space that isn't \s may stand at the edges of words too, in few lines.
+    words = F.split(value, r"\s+")
+    return F.when(d.isNull() & ~F.col(value).rlike(r"[\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"), words).otherwise(F.transform(F.coalesce(*parts, words), strip))
 
 
 def ingest_lines(lines: DataFrame) -> DataFrame:

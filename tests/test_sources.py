@@ -167,3 +167,11 @@ def test_invalid_rows_are_told_where_rows_were_dealt(spark):
     assert {(r["seq"], r["code"]) for r in bad.collect()} == {(2, "ERR_SYNTAX"), (3, "ERR_EMPTY")}
     above, _, below = bad._jdf.queryExecution().optimizedPlan().toString().partition("Repartition")
     assert "regexp_extract_all" in above and "regexp_extract_all" not in below
+
+
+def test_layouts_keep_cells_in_their_lines(spark):
+    """No row for each cell, which sorted all words in a task; inputs that repeat have two first lines, of which the greater name counts."""
+    lines = spark.createDataFrame([(1, 0, "id,smiles"), (1, 1, "a,CCO"), (2, 0, "id,smiles"), (2, 0, "zz,zz"), (2, 1, "a,CCO"), (3, 0, "C[x]l CCO"), (4, 0, "a  b ")], "input int, at int, value string")
+    found = ingest.layouts(lines)
+    assert {tuple(r) for r in found.collect()} == {(1, ",", True, 1, 0), (2, ",", True, 0, 1), (3, None, False, 0, 1), (4, None, False, 1, 0)}
+    assert "posexplode(" not in found._jdf.queryExecution().optimizedPlan().toString()
