@@ -107,6 +107,27 @@ def test_line_dedup_repeated_words_and_short_periods(spark):
     assert got[2] == f"{prose(7, 20)} {prose(8, 20)}"
 
 
+def test_line_dedup_compares_copies_in_one_stretch(spark):
+    """A copy of many chunks is one row to compare, not one for each chunk."""
+    p = prose(5, 400)
+    texts = spark.createDataFrame([(1, p), (2, p), (2, p), (3, f"{prose(6, 50)} {p}")], "doc_id long, text string").withColumn("th", F.hash("text"))
+    got = {r["doc_id"]: r for r in lines._asked(lines._places(texts, 10)).collect()}
+    assert sorted(got) == [2, 3] and (got[2]["start"], got[2]["end"], got[2]["f_start"]) == (0, 400, 0)
+    assert got[3]["start"] - got[3]["f_start"] == 50 and len(got[3]["parts"]) > 5
+
+
+def test_line_dedup_removes_the_equal_parts_of_a_stretch_that_differs(spark):
+    """As where two chunks' hashes are the same by chance."""
+    w = prose(5, 40).split()
+    other = [*w[:20], "other", *w[21:]]
+    texts = spark.createDataFrame([(1, " ".join(w)), (2, " ".join(other))], "doc_id long, text string").withColumn("th", F.hash("text"))
+    th = {r["doc_id"]: r["th"] for r in texts.collect()}
+    parts = [(0, 15, True, False), (15, 25, False, False), (25, 40, False, True)]
+    schema = "doc_id long, th int, start int, end int, left boolean, right boolean, f_id long, f_th int, f_start int, f_end int, parts array<struct<start int, end int, left boolean, right boolean>>"
+    asked = spark.createDataFrame([(2, th[2], 0, 40, True, True, 1, th[1], 0, 40, parts)], schema)
+    assert sorted((r["start"], r["end"]) for r in lines._spans(texts, asked).collect()) == [(0, 15), (25, 40)]
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(1)
     x = rng.standard_normal((300, 16))
